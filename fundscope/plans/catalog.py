@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundscope.functions import columns as C
-from fundscope.operators import shape, stats
+from fundscope.operators import metrics, sampling, shape, stats
 from fundscope.plans import features as feat
 from fundscope.plans.oracle import on_campaigns, on_features, on_scored
 from fundscope.sources import tables
@@ -370,3 +370,182 @@ from campaigns c join u on c.url = u.url where c.name is not null""",
         where url is not null and name is not null group by url having min(name) <> max(name))"""))
 def same_url_pairs(spark, sf):
     return shape.same_url_conflicts(campaigns(spark, sf))
+
+
+def _hash_sql(seed: str, key_sql: str) -> str:
+    """DuckDB twin of ``columns.hash_unit``."""
+    return f"cast(('0x' || substr(md5('{seed}|' || cast({key_sql} as varchar)), 1, 8)) as bigint)"
+
+
+def _recrawl(spark, sf) -> DataFrame:
+    """Campaigns plus a second crawl of every 7th id under another name (duplicate ids)."""
+    c = campaigns(spark, sf)
+    again = (c.where(F.col("id") % 7 == 0)
+             .withColumn("name", F.concat(F.col("name"), F.lit(" (recrawl)"))))
+    return c.unionByName(again)
+
+
+_RECRAWL_CTE = """crawl as (select * from campaigns union all
+    select * replace (concat(name, ' (recrawl)') as name) from campaigns where id % 7 = 0)"""
+
+
+@register("dedupe_by_key", on_campaigns("""
+select id, name, url, launched_at from (
+  select *, row_number() over (partition by id order by name) as rn from crawl) t
+where rn = 1""", _RECRAWL_CTE))
+def dedupe_by_key(spark, sf):
+    d = shape.dedupe_by_key(_recrawl(spark, sf), ["id"], order=["name"])
+    return d.select("id", "name", "url", "launched_at")
+
+
+@register("distinct_rows", on_features("""
+select distinct staff_pick, blurblen, namelen, countryUS, campaignlen, preparelen,
+       newsubCategory, monthdead, monthLaunched, goalBin, label from features"""))
+def distinct_rows(spark, sf):
+    return shape.distinct_rows(features(spark, sf).drop("id"))
+
+
+@register("later_duplicates", """
+select doc_id, first_doc_id from (
+  select doc_id, min(doc_id) over (partition by text) as first_doc_id from documents) t
+where doc_id > first_doc_id""")
+def later_duplicates(spark, sf):
+    docs = tables.load(spark, sf, "documents").select("doc_id", "text")
+    return shape.later_duplicates(docs, "text", "doc_id").select("doc_id", "first_doc_id")
+
+
+@register("attach_description", """
+select l.doc_id, l.quality, l.toxic, cast(length(d.text) as integer) as description_chars,
+       case when regexp_matches(d.text, '\\S') then 1 else 0 end as has_description
+from labels l left join documents d on l.doc_id = d.doc_id""")
+def attach_description(spark, sf):
+    labels = tables.load(spark, sf, "labels")
+    docs = tables.load(spark, sf, "documents").select("doc_id", F.col("text").alias("description"))
+    j = shape.attach_by_key(labels, docs, "doc_id", ["description"])
+    return j.select("doc_id", "quality", "toxic",
+                    F.length("description").alias("description_chars"),
+                    C.has_text("description").alias("has_description"))
+
+
+# ------------------------------------------------------------ sort / sample (L*)
+
+@register("top_goals", on_campaigns(
+    "select id, name, goal from campaigns order by goal desc, id limit 10"))
+def top_goals(spark, sf):
+    return campaigns(spark, sf).select("id", "name", "goal").orderBy(
+        F.col("goal").desc(), F.col("id")).limit(10)
+
+
+_TRAIN_CTE = f"""train as (select * from features where {_hash_sql('101', 'id')} % 100 < 75)"""
+
+
+@register("split_train", on_features("select id, label from train", _TRAIN_CTE))
+def split_train(spark, sf):
+    train, _ = sampling.keyed_split(features(spark, sf), "id", 75, 101)
+    return train.select("id", "label")
+
+
+@register("sample_class", on_features(f"""
+select id, label from features where label = 1
+order by {_hash_sql('7', 'id')}, id limit 500"""))
+def sample_class(spark, sf):
+    return sampling.sample_class(features(spark, sf), 500, "label", 1, 7, "id").select(
+        "id", "label")
+
+
+_REBALANCE_CTES = (
+    _TRAIN_CTE,
+    "base as (select *, 0 as copy_no from train)",
+    f"""extra as (select * replace (1 as copy_no) from base where label = 1
+        order by {_hash_sql('101a', "id || '#' || copy_no")}, id, copy_no limit 2000)""",
+    "training as (select * from base union all select * from extra)",
+    f"""neg as (select * from training where label = 0
+        order by {_hash_sql('101b', "id || '#' || copy_no")}, id, copy_no limit 4700)""",
+    f"""pos as (select * from training where label = 1
+        order by {_hash_sql('101c', "id || '#' || copy_no")}, id, copy_no limit 4700)""",
+)
+
+
+@register("rebalance", on_features("select * from neg union all select * from pos",
+                                    *_REBALANCE_CTES))
+def rebalance(spark, sf):
+    train, _ = sampling.keyed_split(features(spark, sf), "id", 75, 101)
+    return sampling.rebalance(train, oversample=2000, per_class=4700, seed=101)
+
+
+@register("class_balance_rebalanced", on_features("""
+select label, count(*) as count from (select * from neg union all select * from pos) t
+group by label""", *_REBALANCE_CTES))
+def class_balance_rebalanced(spark, sf):
+    return stats.group_count(rebalance(spark, sf), "label")
+
+
+# ------------------------------------------------------------ metrics (V*)
+
+@register("auc_hard", on_scored("""
+select (avg(case when label = 1 then prediction end)
+        + avg(case when label = 0 then 1 - prediction end)) / 2 as auc_hard from scored"""))
+def auc_hard(spark, sf):
+    return metrics.auc_hard(scored(spark, sf))
+
+
+@register("auc_score", on_scored("""
+select sum(pos * (coalesce(neg_before, 0) + 0.5 * neg)) / (sum(pos) * sum(neg)) as auc_score
+from (select score, pos, neg,
+             sum(neg) over (order by score rows between unbounded preceding and 1 preceding)
+               as neg_before
+      from (select cast(score as double) as score,
+                   sum(case when label = 1 then 1 else 0 end) as pos,
+                   sum(case when label = 1 then 0 else 1 end) as neg
+            from scored group by 1) s) t"""))
+def auc_score(spark, sf):
+    return metrics.auc_score(scored(spark, sf))
+
+
+@register("confusion", on_scored("""
+select label, count(*) filter (where prediction = 0) as pred_0,
+       count(*) filter (where prediction = 1) as pred_1
+from scored group by label"""))
+def confusion(spark, sf):
+    return metrics.confusion(scored(spark, sf))
+
+
+@register("prf_by_label", on_scored("""
+select c as label,
+       case when n_pred > 0 then tp / n_pred else 0 end as precision,
+       case when n_act > 0 then tp / n_act else 0 end as recall,
+       case when (case when n_pred > 0 then tp / n_pred else 0 end)
+               + (case when n_act > 0 then tp / n_act else 0 end) > 0
+            then 2 * (case when n_pred > 0 then tp / n_pred else 0 end)
+                   * (case when n_act > 0 then tp / n_act else 0 end)
+                 / ((case when n_pred > 0 then tp / n_pred else 0 end)
+                   + (case when n_act > 0 then tp / n_act else 0 end))
+            else 0 end as f1
+from (select c, sum(case when label = c and prediction = c then 1 else 0 end)::double as tp,
+             sum(case when label = c then 1 else 0 end) as n_act,
+             sum(case when prediction = c then 1 else 0 end) as n_pred
+      from scored, (select label as c from scored union select prediction from scored) k
+      group by c) t"""))
+def prf_by_label(spark, sf):
+    return metrics.prf_by_label(scored(spark, sf))
+
+
+@register("accuracy", on_scored(
+    "select avg(case when label = prediction then 1 else 0 end) as accuracy from scored"))
+def accuracy(spark, sf):
+    return metrics.accuracy(scored(spark, sf))
+
+
+@register("roc_points", on_scored("""
+select score as threshold, tp, fp, tp / p_all as tpr, fp / n_all as fpr,
+       tp / (tp + fp) as precision
+from (select score,
+             sum(pos) over (order by score desc) as tp,
+             sum(neg) over (order by score desc) as fp,
+             sum(pos) over () as p_all, sum(neg) over () as n_all
+      from (select cast(score as double) as score,
+                   sum(case when label = 1 then 1 else 0 end) as pos,
+                   sum(case when label = 1 then 0 else 1 end) as neg
+            from scored group by 1) s) t"""))
+def roc_points(spark, sf):
+    return metrics.roc_points(scored(spark, sf))
