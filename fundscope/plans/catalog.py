@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundscope.functions import columns as C
-from fundscope.operators import metrics, sampling, shape, stats
+from fundscope.operators import keywords, metrics, pages, records, sampling, shape, stats
 from fundscope.plans import features as feat
 from fundscope.plans.oracle import on_campaigns, on_features, on_scored
 from fundscope.sources import tables
@@ -549,3 +549,92 @@ from (select score,
             from scored group by 1) s) t"""))
 def roc_points(spark, sf):
     return metrics.roc_points(scored(spark, sf))
+
+
+# ------------------------------------------------------------ records, pages, keywords (T*)
+
+def _description_files(spark, sf) -> DataFrame:
+    """Description files (S11 format) that Spark derives from ``documents``."""
+    return records.description_files(tables.load(spark, sf, "documents"))
+
+
+_BATCH_CTE = """batched as (select doc_id, text, (doc_id // 500) * 500 as lo,
+    max(doc_id) over (partition by doc_id // 500) + 1 as hi from documents)"""
+
+
+@register("assemble_records", """
+with """ + _BATCH_CTE + """
+select 'project_description_' || lo || '_' || hi || '.txt' as file_name,
+       doc_id as idx, coalesce(text, '') as text
+from batched""")
+def assemble_records(spark, sf):
+    return records.assemble_records(_description_files(spark, sf))
+
+
+@register("missing_records", """
+with labelled as (select d.* from documents d semi join labels l on d.doc_id = l.doc_id),
+""" + _BATCH_CTE.replace("from documents", "from labelled") + """,
+files as (select distinct lo, hi from batched)
+select 'project_description_' || lo || '_' || hi || '.txt' as file_name, idx
+from (select lo, hi, unnest(range(lo, hi)) as idx from files) r
+where idx not in (select doc_id from labels)""")
+def missing_records(spark, sf):
+    docs = tables.load(spark, sf, "documents")
+    labels = tables.load(spark, sf, "labels").select("doc_id")
+    labelled = docs.join(labels, "doc_id", "left_semi")
+    return records.missing_records(records.description_files(labelled))
+
+
+@register("record_counts", """
+with """ + _BATCH_CTE + """
+select 'project_description_' || lo || '_' || hi || '.txt' as file_name,
+       max(hi) - min(lo) as expected, count(distinct doc_id) as found
+from batched group by lo, hi""")
+def record_counts(spark, sf):
+    return records.record_counts(_description_files(spark, sf))
+
+
+@register("page_features")
+def page_features(spark, sf):
+    return pages.page_features(tables.load(spark, sf, "pages"))
+
+
+@register("pages_missing_text")
+def pages_missing_text(spark, sf):
+    return pages.pages_missing_text(page_features(spark, sf))
+
+
+@register("page_flags", r"""
+select page_id,
+       case when regexp_matches(html, '(?i)<article[\s>]') then 1 else 0 end as has_container,
+       case when regexp_matches(coalesce(regexp_extract(html, '(?is)<article\b[^>]*>(.*)</article\s*>', 1), ''),
+                                '(?i)<figure[\s>]') then 1 else 0 end as has_image,
+       case when regexp_matches(html, '(?i)<video[\s>]') then 1 else 0 end as has_video
+from pages""")
+def page_flags(spark, sf):
+    return pages.page_flags(tables.load(spark, sf, "pages"))
+
+
+_TOKENS_CTE = r"""toks as (select doc_id, unnest(regexp_extract_all(lower(text), '\p{L}+')) as term
+    from documents)"""
+
+
+@register("term_stats", "with " + _TOKENS_CTE + """
+select term, sum(n) as tf, count(*) as df
+from (select doc_id, term, count(*) as n from toks group by 1, 2) t group by term""")
+def term_stats(spark, sf):
+    return keywords.term_stats(tables.load(spark, sf, "documents"))
+
+
+@register("top_keywords", "with " + _TOKENS_CTE + """,
+per_doc as (select doc_id, term, count(*) as n from toks group by 1, 2),
+dfs as (select term, count(*) as df from per_doc group by term),
+scored as (select p.doc_id, p.term, p.n * ln(((select count(*) from documents) + 1) / (d.df + 1))
+               as tfidf
+           from per_doc p join dfs d using (term))
+select doc_id, rank, term, round(tfidf, 6) as tfidf from (
+  select *, row_number() over (partition by doc_id order by tfidf desc, term) as rank
+  from scored) r where rank <= 5""")
+def top_keywords(spark, sf):
+    kw = keywords.top_keywords(tables.load(spark, sf, "documents"), k=5)
+    return kw.withColumn("tfidf", F.round("tfidf", 6))
