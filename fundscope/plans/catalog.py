@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from fundscope.functions import columns as C
 from fundscope.operators import keywords, metrics, pages, records, sampling, shape, stats
 from fundscope.plans import features as feat
+from fundscope.plans import models
 from fundscope.plans.oracle import on_campaigns, on_features, on_scored
 from fundscope.sources import tables
 from fundscope.sources.tables import CATEGORY, CUTOFF, HOME_COUNTRY, KEEP_STANDIN
@@ -638,3 +639,93 @@ select doc_id, rank, term, round(tfidf, 6) as tfidf from (
 def top_keywords(spark, sf):
     kw = keywords.top_keywords(tables.load(spark, sf, "documents"), k=5)
     return kw.withColumn("tfidf", F.round("tfidf", 6))
+
+
+# ------------------------------------------------------------ models (M*)
+
+@register("string_index", on_features("""
+select f.id, f.newsubCategory, cast(i.idx as double) as subCategoryIndex
+from features f join (
+  select newsubCategory, row_number() over (order by count(*) desc, newsubCategory) - 1 as idx
+  from features group by newsubCategory) i using (newsubCategory)"""))
+def string_index(spark, sf):
+    from pyspark.ml.feature import StringIndexer
+    f = features(spark, sf)
+    model = StringIndexer(inputCol="newsubCategory", outputCol="subCategoryIndex",
+                          stringOrderType="frequencyDesc").fit(f)
+    return model.transform(f).select("id", "newsubCategory", "subCategoryIndex")
+
+
+_STD_COLS = ("blurblen", "namelen", "campaignlen", "preparelen")
+
+
+@register("standardize", on_features(
+    "select id, " + ", ".join(
+        f"case when s.s_{c} = 0 then 0.0 else round(({c} - s.m_{c}) / s.s_{c}, 6) end "
+        f"as {c}_scaled" for c in _STD_COLS)
+    + " from complete, s",
+    "complete as (select * from features where "
+    + " and ".join(f"{c} is not null" for c in _STD_COLS) + ")",
+    "s as (select " + ", ".join(f"avg({c}) as m_{c}, stddev_samp({c}) as s_{c}"
+                                for c in _STD_COLS) + " from complete)"))
+def standardize(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+    f = features(spark, sf)
+    fitted = models.numeric_scaling_pipeline(_STD_COLS, output="scaled").fit(f)
+    arr = vector_to_array(F.col("scaled"))
+    return fitted.transform(f).select(
+        "id", *[F.round(arr[i], 6).alias(f"{c}_scaled") for i, c in enumerate(_STD_COLS)])
+
+
+def _prepared(spark, sf) -> models.Prepared:
+    return models.prepare(features(spark, sf))
+
+
+@register("model_matrix")
+def model_matrix(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+    p = _prepared(spark, sf)
+    return p.train.select("id", "label", "fold", vector_to_array("features").alias("features"))
+
+
+@register("vector_index")
+def vector_index(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+    f = features(spark, sf)
+    pipe = models.feature_pipeline(scale=False, output="modelFeatures")
+    enc = pipe.fit(f).transform(f)
+    vi = models.vector_indexer("modelFeatures", "indexFeatures").fit(enc)
+    return vi.transform(enc).select("id", vector_to_array("indexFeatures").alias("indexFeatures"))
+
+
+def _evaluate(pred: DataFrame) -> DataFrame:
+    """One row: area under ROC on hard predictions and on scores, accuracy."""
+    return (metrics.auc_hard(pred).crossJoin(metrics.auc_score(pred))
+            .crossJoin(metrics.accuracy(pred)))
+
+
+@register("lr_plain")
+def lr_plain(spark, sf):
+    p = _prepared(spark, sf)
+    model = models.fit_plain(p, "logistic")
+    return _evaluate(models.predict(model, p.test))
+
+
+def _cv(kind: str):
+    def run(spark, sf):
+        p = _prepared(spark, sf)
+        _, results = models.search(p, kind)
+        return results
+    return run
+
+
+for _kind in ("logistic", "tree", "forest", "svm"):
+    register({"logistic": "lr_cv", "tree": "dt_cv", "forest": "rf_cv",
+              "svm": "svc_cv"}[_kind])(_cv(_kind))
+
+
+@register("predict")
+def predict(spark, sf):
+    p = _prepared(spark, sf)
+    best, _ = models.search(p, "logistic")
+    return models.predict(best.bestModel, p.test)
