@@ -47,7 +47,8 @@ def save_table(df: DataFrame, name: str) -> None:
 
 def read_text_files(spark: SparkSession, path: str) -> DataFrame:
     """Whole text files -> ``(file_name, value)``, one row per file."""
-    return (spark.read.option("wholetext", True).text(path)
+    # text() resets options it names itself, so wholetext must be its keyword.
+    return (spark.read.text(path, wholetext=True)
             .select(F.col("_metadata.file_name").alias("file_name"), "value"))
 
 
