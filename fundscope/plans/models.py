@@ -76,18 +76,20 @@ ESTIMATORS = {
 def feature_pipeline(categorical: Sequence[str] = CATEGORICAL,
                      numeric: Sequence[str] = NUMERIC, category_col: str = "newsubCategory",
                      handle_invalid: str = "skip", scale: bool = True,
-                     output: str = "features") -> Pipeline:
+                     output: str = "features", unseen: str = "error") -> Pipeline:
     """M1-M5: index -> one-hot (drop last) -> assemble -> standardize.
 
     ``handle_invalid`` is an explicit choice for null numbers (the reference's
     default, "error", fails on a null blurb length): "skip" drops such rows,
-    "keep" passes NaN on.
+    "keep" passes NaN on. ``unseen`` is the encoders' policy for categories not
+    seen in fitting: "error" (the reference's default, and its vector width) or
+    "keep" (one extra slot per categorical input).
     """
     stages = [StringIndexer(inputCol=category_col, outputCol="subCategoryIndex",
-                            handleInvalid="keep")]
+                            handleInvalid=unseen)]
     vec = [f"{c}Vec" for c in categorical]
     stages.append(OneHotEncoder(inputCols=list(categorical), outputCols=vec, dropLast=True,
-                                handleInvalid="keep"))
+                                handleInvalid=unseen))
     assembled = "featuresAssem" if scale else output
     stages.append(VectorAssembler(inputCols=vec + list(numeric), outputCol=assembled,
                                   handleInvalid=handle_invalid))
@@ -124,9 +126,10 @@ class Prepared:
 
 def prepare(features: DataFrame, key: str = "id", seed: int = 101, rebalanced: bool = True,
             oversample: int = 2000, per_class: int = 4700, folds: int = REFERENCE_FOLDS,
-            fit_before_split: bool = False, handle_invalid: str = "skip") -> Prepared:
+            fit_before_split: bool = False, handle_invalid: str = "skip",
+            unseen: str = "error") -> Prepared:
     """Split, rebalance, encode; add ``fold`` for cross-validation; cut lineage once."""
-    pipe = feature_pipeline(handle_invalid=handle_invalid)
+    pipe = feature_pipeline(handle_invalid=handle_invalid, unseen=unseen)
     train, test = keyed_split(features, key, seed=seed)
     if rebalanced:
         train = rebalance(train, key=key, oversample=oversample, per_class=per_class,
