@@ -711,11 +711,23 @@ def lr_plain(spark, sf):
     return _evaluate(models.predict(model, p.test))
 
 
+_SEARCHES: dict = {}
+
+
+def _search(spark, sf, kind: str):
+    """One reference-grid search per (session, scale, model) in this process:
+    ``predict`` reuses the logistic search of ``lr_cv`` instead of repeating it."""
+    key = (id(spark), sf, kind)
+    if key not in _SEARCHES:
+        p = _prepared(spark, sf)
+        best, results = models.search(p, kind)
+        _SEARCHES[key] = (p, best, results)
+    return _SEARCHES[key]
+
+
 def _cv(kind: str):
     def run(spark, sf):
-        p = _prepared(spark, sf)
-        _, results = models.search(p, kind)
-        return results
+        return _search(spark, sf, kind)[2]
     return run
 
 
@@ -726,6 +738,5 @@ for _kind in ("logistic", "tree", "forest", "svm"):
 
 @register("predict")
 def predict(spark, sf):
-    p = _prepared(spark, sf)
-    best, _ = models.search(p, "logistic")
+    p, best, _ = _search(spark, sf, "logistic")
     return models.predict(best.bestModel, p.test)
