@@ -54,7 +54,7 @@ def scored(spark: SparkSession, sf: str) -> DataFrame:
 # ------------------------------------------------------------ flagship
 
 @register("success_by_goal_bin", on_features("""
-select goalBin, count(*) as campaigns, sum(label) as successes,
+select goalBin, count(*) as campaigns, cast(sum(label) as bigint) as successes,
        round(avg(label), 6) as success_rate,
        round(count(*) / (select count(*) from features), 6) as share
 from features group by goalBin"""))
@@ -297,10 +297,10 @@ def profile(spark, sf):
 
 
 @register("max_lengths", on_campaigns("""
-select max(length(name)) as max_len_name, max(length(state)) as max_len_state,
-       max(length(blurb)) as max_len_blurb, max(length(country)) as max_len_country,
-       max(length(currency)) as max_len_currency, max(length(mainCategory)) as max_len_mainCategory,
-       max(length(subCategory)) as max_len_subCategory, max(length(url)) as max_len_url
+select cast(max(length(name)) as integer) as max_len_name, cast(max(length(state)) as integer) as max_len_state,
+       cast(max(length(blurb)) as integer) as max_len_blurb, cast(max(length(country)) as integer) as max_len_country,
+       cast(max(length(currency)) as integer) as max_len_currency, cast(max(length(mainCategory)) as integer) as max_len_mainCategory,
+       cast(max(length(subCategory)) as integer) as max_len_subCategory, cast(max(length(url)) as integer) as max_len_url
 from campaigns"""))
 def max_lengths(spark, sf):
     return stats.max_lengths(campaigns(spark, sf), ["name", "state", "blurb", "country",
@@ -541,8 +541,8 @@ def accuracy(spark, sf):
 select score as threshold, tp, fp, tp / p_all as tpr, fp / n_all as fpr,
        tp / (tp + fp) as precision
 from (select score,
-             sum(pos) over (order by score desc) as tp,
-             sum(neg) over (order by score desc) as fp,
+             cast(sum(pos) over (order by score desc) as bigint) as tp,
+             cast(sum(neg) over (order by score desc) as bigint) as fp,
              sum(pos) over () as p_all, sum(neg) over () as n_all
       from (select cast(score as double) as score,
                    sum(case when label = 1 then 1 else 0 end) as pos,
@@ -589,7 +589,7 @@ def missing_records(spark, sf):
 @register("record_counts", """
 with """ + _BATCH_CTE + """
 select 'project_description_' || lo || '_' || hi || '.txt' as file_name,
-       max(hi) - min(lo) as expected, count(distinct doc_id) as found
+       max(hi) - min(lo) as expected, cast(count(distinct doc_id) as integer) as found
 from batched group by lo, hi""")
 def record_counts(spark, sf):
     return records.record_counts(_description_files(spark, sf))
@@ -621,7 +621,7 @@ _TOKENS_CTE = r"""toks as (select doc_id, unnest(regexp_extract_all(lower(text),
 
 
 @register("term_stats", "with " + _TOKENS_CTE + """
-select term, sum(n) as tf, count(*) as df
+select term, cast(sum(n) as bigint) as tf, count(*) as df
 from (select doc_id, term, count(*) as n from toks group by 1, 2) t group by term""")
 def term_stats(spark, sf):
     return keywords.term_stats(tables.load(spark, sf, "documents"))
@@ -633,7 +633,7 @@ dfs as (select term, count(*) as df from per_doc group by term),
 scored as (select p.doc_id, p.term, p.n * ln(((select count(*) from documents) + 1) / (d.df + 1))
                as tfidf
            from per_doc p join dfs d using (term))
-select doc_id, rank, term, round(tfidf, 6) as tfidf from (
+select doc_id, cast(rank as integer) as rank, term, round(tfidf, 6) as tfidf from (
   select *, row_number() over (partition by doc_id order by tfidf desc, term) as rank
   from scored) r where rank <= 5""")
 def top_keywords(spark, sf):
