@@ -3,8 +3,8 @@
 Input: a DataFrame with a 0/1 ``label``, a 0/1 ``prediction`` and optionally a
 numeric ``score``. Confusion-based metrics come from one grouped count (at most
 k*k rows). Score-based metrics first reduce to one row per distinct score, then
-take running sums with a two-level prefix (per range partition, then within
-it), so no window ever runs over all scores in one task.
+take running sums with a two-level prefix (over score buckets, then within
+each bucket), so no window ever runs over all scores in one task.
 """
 
 from __future__ import annotations
@@ -85,19 +85,25 @@ def _running(counts: DataFrame, cols: list[str], descending: bool,
              buckets: int = PREFIX_BUCKETS) -> DataFrame:
     """Add ``<c>_before``: sum of ``c`` over all rows strictly earlier in score order.
 
-    Two levels: range-partition the (distinct) scores, total each partition
-    (``buckets`` rows, broadcast), prefix those, then prefix inside each
-    partition. Each window covers one range partition only.
+    Two levels. Bucket bounds are approximate quantiles of the distinct scores,
+    fetched once as literals (``buckets`` values), so the bucket of a score is a
+    pure function of the score: the same in every branch and on recompute.
+    Bucket totals (at most ``buckets`` rows, broadcast) are prefixed first,
+    then each bucket is prefixed on its own, so every window spans one bucket.
     """
+    probs = [i / buckets for i in range(1, buckets)]
+    found = counts.agg(F.percentile_approx("score", probs, 10000).alias("q")).first()["q"]
+    bounds = sorted({float(x) for x in (found or []) if x is not None})
+    arr = F.array(*[F.lit(x) for x in bounds]) if bounds else F.array().cast("array<double>")
+    up = F.size(F.filter(arr, lambda x: x <= F.col("score")))   # non-decreasing in score
     order = F.col("score").desc() if descending else F.col("score").asc()
-    ranged = (counts.repartitionByRange(buckets, order)
-              .withColumn("_b", F.spark_partition_id()))
-    totals = ranged.groupBy("_b").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
+    keyed = counts.withColumn("_b", (F.lit(len(bounds)) - up) if descending else up)
+    totals = keyed.groupBy("_b").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
     wb = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select("_b", *[F.coalesce(F.sum(f"_t_{c}").over(wb), F.lit(0))
                                    .alias(f"_bb_{c}") for c in cols])
     wi = Window.partitionBy("_b").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    joined = ranged.join(F.broadcast(totals), "_b")
+    joined = keyed.join(F.broadcast(totals), "_b")
     return joined.select(
         "score", *[c for c in counts.columns if c != "score"],
         *[(F.col(f"_bb_{c}") + F.coalesce(F.sum(c).over(wi), F.lit(0))).alias(f"{c}_before")

@@ -182,9 +182,10 @@ def histogram(df: DataFrame, col: str, bins: int = 10, lo: float | None = None,
     idx = F.when(width == 0, F.lit(0)).otherwise(F.least(raw, F.lit(bins - 1)))
     counts = (src.where((F.col("x") >= lo_c) & (F.col("x") <= hi_c))
               .groupBy(idx.cast("int").alias("bin")).agg(_n().alias(COUNT)))
-    # All bins, including empty ones: a bounded range of `bins` rows.
+    # All bins, including empty ones. Both sides hold at most `bins` rows, so the
+    # counts are broadcast (a proven bound) instead of sort-merge joined.
     all_bins = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-    return (all_bins.join(counts, "bin", "left")
+    return (all_bins.join(F.broadcast(counts), "bin", "left")
             .select("bin",
                     (lo_c + F.col("bin") * width / bins).alias("bin_lo"),
                     (lo_c + (F.col("bin") + 1) * width / bins).alias("bin_hi"),
