@@ -20,9 +20,10 @@ OVERSAMPLE = 2000
 PER_CLASS = 4700
 
 # Up to this many rows a sample is a plain top-k (TakeOrderedAndProject keeps
-# k rows per task). Beyond it, a hash-bucket histogram finds the cut first.
-TOPK_MAX = 200_000
-CUT_BUCKETS = 65536
+# k rows per task and merges partitions*k rows in one task with a bounded
+# queue). Beyond it, hash-bucket histograms find the cut first.
+TOPK_MAX = 10_000
+CUT_BITS = (16, 16)   # 32-bit hash: high 16 bits, then low 16 bits
 
 
 def keyed_split(df: DataFrame, key: str = "id", percent: int = TRAIN_PERCENT,
@@ -47,30 +48,46 @@ def first_n_by_hash(df: DataFrame, n: int, seed, key: str = "id",
                     copy_col: str | None = None) -> DataFrame:
     """The ``n`` rows with the least keyed hash (ties by key, copy number).
 
-    Small ``n``: top-k. Large ``n``: count rows per hash bucket (a bounded
-    ``CUT_BUCKETS``-row table), keep whole buckets below the cut and take the
-    remainder from the cut bucket only — no global sort, no single task
-    holding ``n`` rows.
+    Small ``n``: top-k. Large ``n``: count rows per hash bucket (at most
+    ``2**16`` rows back per level), keep the whole buckets below the cut and
+    descend into the cut bucket with the next 16 bits; only the rows of one
+    fine bucket (about N / 2**32 of the input) go through a final top-k. No
+    global sort, no task holding ``n`` rows.
     """
     order = [F.col("_h"), F.col(key)] + ([F.col(copy_col)] if copy_col else [])
     keyed = df.withColumn("_h", _sample_key(seed, key, copy_col))
     if n <= TOPK_MAX:
         return keyed.orderBy(*order).limit(n).drop("_h")
-    shift = 32 - (CUT_BUCKETS.bit_length() - 1)
-    bucket = F.shiftright(F.col("_h"), shift)
-    hist = sorted((r["b"], r["n"]) for r in
-                  keyed.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect())
-    below, cut = 0, None
-    for b, cnt in hist:
-        if below + cnt >= n:
-            cut = b
+    kept: list[DataFrame] = []
+    scope = keyed              # rows still undecided
+    remaining = n
+    shift = 32
+    for bits in CUT_BITS:
+        shift -= bits
+        bucket = F.shiftright(F.col("_h"), shift) % (1 << bits)
+        hist = sorted((r["b"], r["n"]) for r in scope.groupBy(bucket.alias("b"))
+                      .agg(F.count(F.lit(1)).alias("n")).collect())
+        below, cut = 0, None
+        for b, cnt in hist:
+            if below + cnt >= remaining:
+                cut = b
+                break
+            below += cnt
+        if cut is None:                     # fewer rows than asked: keep them all
+            kept.append(scope)
+            remaining = 0
             break
-        below += cnt
-    if cut is None:
-        return keyed.drop("_h")
-    whole = keyed.where(bucket < cut)
-    rest = keyed.where(bucket == cut).orderBy(*order).limit(n - below)
-    return whole.unionByName(rest).drop("_h")
+        kept.append(scope.where(bucket < cut))
+        scope = scope.where(bucket == cut)
+        remaining -= below
+        if remaining <= TOPK_MAX:
+            break
+    if remaining > 0:
+        kept.append(scope.orderBy(*order).limit(remaining))
+    out = kept[0]
+    for part in kept[1:]:
+        out = out.unionByName(part)
+    return out.drop("_h")
 
 
 def sample_class(df: DataFrame, n: int, label: str = "label", value=1, seed=SPLIT_SEED,

@@ -126,6 +126,10 @@ def test_first_n_large_path_matches_topk(spark, monkeypatch):
     monkeypatch.setattr(sampling, "TOPK_MAX", 10)
     big = sorted(r.id for r in sampling.first_n_by_hash(df, 1234, 9, "id").collect())
     assert small == big and len(big) == 1234
+    monkeypatch.setattr(sampling, "TOPK_MAX", 0)     # descend both hash levels
+    deep = sorted(r.id for r in sampling.first_n_by_hash(df, 1234, 9, "id").collect())
+    assert deep == small
+    assert sampling.first_n_by_hash(df, 9000, 9, "id").count() == 5000
 
 
 def test_histogram_max_on_last_edge_and_constant(spark):
