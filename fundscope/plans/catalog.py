@@ -671,7 +671,7 @@ _STD_COLS = ("blurblen", "namelen", "campaignlen", "preparelen")
 def standardize(spark, sf):
     from pyspark.ml.functions import vector_to_array
     f = features(spark, sf)
-    fitted = models.numeric_scaling_pipeline(_STD_COLS, output="scaled").fit(f)
+    fitted = models.numeric_scaler(_STD_COLS, output="scaled").fit(f)
     arr = vector_to_array(F.col("scaled"))
     return fitted.transform(f).select(
         "id", *[F.round(arr[i], 6).alias(f"{c}_scaled") for i, c in enumerate(_STD_COLS)])
@@ -692,7 +692,7 @@ def model_matrix(spark, sf):
 def vector_index(spark, sf):
     from pyspark.ml.functions import vector_to_array
     f = features(spark, sf)
-    pipe = models.feature_pipeline(scale=False, output="modelFeatures")
+    pipe = models.encoder_stages(scale=False, output="modelFeatures")
     enc = pipe.fit(f).transform(f)
     vi = models.vector_indexer("modelFeatures", "indexFeatures").fit(enc)
     return vi.transform(enc).select("id", vector_to_array("indexFeatures").alias("indexFeatures"))

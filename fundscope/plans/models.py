@@ -1,4 +1,4 @@
-"""Feature pipeline, model search and prediction (M1-M15) on Spark ML.
+"""Feature encoding, model search and prediction (M1-M15) on Spark ML.
 
 Differences from the reference, all deliberate:
 - the pipeline is fitted on the training side only (``fit_before_split=True``
@@ -73,7 +73,7 @@ ESTIMATORS = {
 }
 
 
-def feature_pipeline(categorical: Sequence[str] = CATEGORICAL,
+def encoder_stages(categorical: Sequence[str] = CATEGORICAL,
                      numeric: Sequence[str] = NUMERIC, category_col: str = "newsubCategory",
                      handle_invalid: str = "skip", scale: bool = True,
                      output: str = "features", unseen: str = "error") -> Pipeline:
@@ -99,7 +99,7 @@ def feature_pipeline(categorical: Sequence[str] = CATEGORICAL,
     return Pipeline(stages=stages)
 
 
-def numeric_scaling_pipeline(numeric: Sequence[str] = NUMERIC,
+def numeric_scaler(numeric: Sequence[str] = NUMERIC,
                              output: str = "scaledFeaturesVec",
                              handle_invalid: str = "skip") -> Pipeline:
     """M6: assemble and standardize the numeric features only."""
@@ -129,7 +129,7 @@ def prepare(features: DataFrame, key: str = "id", seed: int = 101, rebalanced: b
             fit_before_split: bool = False, handle_invalid: str = "skip",
             unseen: str = "error") -> Prepared:
     """Split, rebalance, encode; add ``fold`` for cross-validation; cut lineage once."""
-    pipe = feature_pipeline(handle_invalid=handle_invalid, unseen=unseen)
+    pipe = encoder_stages(handle_invalid=handle_invalid, unseen=unseen)
     train, test = keyed_split(features, key, seed=seed)
     if rebalanced:
         train = rebalance(train, key=key, oversample=oversample, per_class=per_class,

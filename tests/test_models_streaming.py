@@ -33,11 +33,11 @@ def _planted(spark, n=1500):
 
 def test_feature_width_and_constant_slots(spark):
     f = _planted(spark)
-    pipe = models.feature_pipeline(scale=False, output="featuresAssem").fit(f)
+    pipe = models.encoder_stages(scale=False, output="featuresAssem").fit(f)
     row = pipe.transform(f).select("featuresAssem").first()[0]
     # 1 + 1 + 3 (4 categories) + 12 + 12 + 4 one-hot slots (drop last) + 4 numbers
     assert row.size == 1 + 1 + 3 + 12 + 12 + 4 + 4
-    keep = models.feature_pipeline(scale=False, output="featuresAssem", unseen="keep").fit(f)
+    keep = models.encoder_stages(scale=False, output="featuresAssem", unseen="keep").fit(f)
     assert keep.transform(f).select("featuresAssem").first()[0].size == 37 + 7
 
 

@@ -352,3 +352,15 @@ def test_profile_covers_types(spark):
     assert p[("n", "max")][0] == 3 and p[("d", "count")][0] == 1
     assert p[("day", "min")][1] == dt.date(2020, 1, 1)
     assert p[("b", "n_true")][0] == 1
+
+
+def test_tech_slice_round_trip_month_text(spark, scratch):
+    """S5 -> S6: the slice comes back with dates as text; E12 still reads the month."""
+    df = spark.createDataFrame([(1, dt.date(2017, 3, 9)), (2, dt.date(2018, 11, 30))],
+                               "id long, launched_at date")
+    files.write_json(df, f"{scratch}/tech", single_file=True)
+    back = files.read_line_json(spark, f"{scratch}/tech")
+    assert dict(back.dtypes)["launched_at"] == "string"
+    got = sorted((r.id, r.m) for r in back.select("id", C.month_text("launched_at").alias("m"))
+                 .collect())
+    assert got == [(1, "03"), (2, "11")]
