@@ -56,14 +56,16 @@ def _with_chunk_info(df: DataFrame) -> DataFrame:
     return df.drop("chunks", "first")
 
 
-def _walk(info, lo):
-    """One pass: owner record of each chunk and whether the chunk opened it."""
+def _walk(info, lo, hi):
+    """One pass: owner record of each chunk and whether the chunk opened it.
+
+    A marker opens a record only inside the file's range ``[lo, hi)``."""
     init = F.struct(lo.alias("exp"),
                     F.array().cast("array<bigint>").alias("own"),
                     F.array().cast("array<boolean>").alias("open"))
 
     def step(acc, x):
-        opens = (x["m"] == acc["exp"]) & (x["ls"] | ~x["later_ls"])
+        opens = (x["m"] == acc["exp"]) & (x["m"] < hi) & (x["ls"] | ~x["later_ls"])
         return F.when(opens, F.struct(
             (acc["exp"] + 1).alias("exp"),
             F.array_append(acc["own"], acc["exp"]).alias("own"),
@@ -100,7 +102,7 @@ def assemble_records(files: DataFrame, name_col: str = "file_name",
                                   F.col(value_col).alias("value")), "file_name")
     df = df.where(F.col("lo").isNotNull())
     df = _with_chunk_info(df).drop("value")
-    df = df.withColumn("walk", _walk(F.col("info"), F.col("lo")))
+    df = df.withColumn("walk", _walk(F.col("info"), F.col("lo"), F.col("hi")))
     df = df.withColumn("records", _records(F.col("info"), F.col("walk"), F.col("lo")))
     # explode_outer: a plain explode makes the optimizer infer size(records) > 0
     # and push that filter below the stages, re-inlining the whole parse into it.
