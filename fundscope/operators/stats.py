@@ -202,47 +202,74 @@ QUANTILE_COLLECT = 100_000   # a range this small is finished by sorting its val
 def exact_order_stats(df: DataFrame, col: str, ranks: Sequence[int]) -> dict[int, float]:
     """Values at the given 0-based ranks of the ascending non-null values, exactly.
 
-    Distributed selection: each step counts rows per equal-width bucket of the
-    current value range (one partial aggregate, ``QUANTILE_BUCKETS`` rows back),
-    keeps the bucket that holds the rank and repeats inside it. A bucket with
-    one distinct value, or few enough rows, ends the search. No step collects
-    the column or sorts it in one task.
+    Distributed selection. Every pending rank sits in a value range; ranges of
+    one level are disjoint, so ONE pass tags each row with its range and counts
+    rows per (range, equal-width bucket): at most ``QUANTILE_BUCKETS`` rows per
+    range come back. Each rank then descends into its bucket. A range with one
+    distinct value is done; a range with few rows (``QUANTILE_COLLECT``) is
+    finished by fetching just those rows. One scan per level, for all ranks
+    together; the column is never collected or sorted in one task.
     """
     src = (df.select(F.col(col).cast("double").alias("v"))
            .where(F.col("v").isNotNull() & ~F.isnan("v")))
     first = src.agg(F.min("v").alias("lo"), F.max("v").alias("hi"),
                     _n().alias("n")).first()
-    # rank -> (lo, hi, rows strictly below lo); the rank lies in [lo, hi]
+    # rank -> (lo, hi, rows strictly below lo); the rank's value lies in [lo, hi]
     pending = {r: (first["lo"], first["hi"], 0) for r in ranks if 0 <= r < first["n"]}
     out: dict[int, float] = {}
+    totals = {(first["lo"], first["hi"], 0): first["n"]} if pending else {}
+    v = F.col("v")
     while pending:
-        state = next(iter(pending.values()))
-        group = [r for r, s in pending.items() if s == state]
-        for r in group:
-            del pending[r]
-        lo, hi, below = state
-        if lo == hi:
-            out.update({r: lo for r in group})
+        states = sorted(set(pending.values()))
+        for st in [s for s in states if s[0] == s[1]]:
+            for r in [r for r, s in pending.items() if s == st]:
+                out[r] = st[0]
+                del pending[r]
+        states = [s for s in states if s[0] != s[1]]
+        if not states:
+            break
+        small = [s for s in states if totals.get(s, QUANTILE_COLLECT + 1) <= QUANTILE_COLLECT]
+        big = [s for s in states if s not in small]
+        if small:
+            tag = None
+            for i, (lo, hi, _) in enumerate(small):
+                cond = (v >= lo) & (v <= hi)
+                tag = F.when(cond, i) if tag is None else tag.when(cond, i)
+            vals: dict[int, list[float]] = {}
+            for row in src.select(tag.alias("t"), "v").where(F.col("t").isNotNull()).collect():
+                vals.setdefault(row["t"], []).append(row["v"])
+            for i, st in enumerate(small):
+                ordered = sorted(vals.get(i, []))
+                for r in [r for r, s in pending.items() if s == st]:
+                    out[r] = ordered[r - st[2]]
+                    del pending[r]
+        if not big:
             continue
-        part = src.where((F.col("v") >= lo) & (F.col("v") <= hi))
-        width = (hi - lo) / QUANTILE_BUCKETS
-        bucket = F.least(F.floor((F.col("v") - lo) / width),
-                         F.lit(QUANTILE_BUCKETS - 1)).cast("int")
-        hist = sorted((row["b"], row["n"], row["lo"], row["hi"]) for row in
-                      part.groupBy(bucket.alias("b"))
-                      .agg(_n().alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-                      .collect())
-        if sum(h[1] for h in hist) <= QUANTILE_COLLECT:
-            vals = sorted(row["v"] for row in part.collect())
-            out.update({r: vals[r - below] for r in group})
-            continue
-        for r in group:
-            acc = below
-            for _, n, blo, bhi in hist:
-                if r < acc + n:
-                    pending[r] = (blo, bhi, acc)
-                    break
-                acc += n
+        tag, bucket = None, None
+        for i, (lo, hi, _) in enumerate(big):
+            cond = (v >= lo) & (v <= hi)
+            b = F.least(F.floor((v - lo) / ((hi - lo) / QUANTILE_BUCKETS)),
+                        F.lit(QUANTILE_BUCKETS - 1)).cast("int")
+            tag = F.when(cond, i) if tag is None else tag.when(cond, i)
+            bucket = F.when(cond, b) if bucket is None else bucket.when(cond, b)
+        hist: dict[int, list] = {}
+        for row in (src.select(tag.alias("t"), bucket.alias("b"), "v")
+                    .where(F.col("t").isNotNull())
+                    .groupBy("t", "b")
+                    .agg(_n().alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+                    .collect()):
+            hist.setdefault(row["t"], []).append((row["b"], row["n"], row["lo"], row["hi"]))
+        totals = {}
+        for i, st in enumerate(big):
+            buckets = sorted(hist.get(i, []))
+            for r in [r for r, s in pending.items() if s == st]:
+                acc = st[2]
+                for _, cnt, blo, bhi in buckets:
+                    if r < acc + cnt:
+                        pending[r] = (blo, bhi, acc)
+                        totals[(blo, bhi, acc)] = cnt
+                        break
+                    acc += cnt
     return out
 
 

@@ -131,14 +131,16 @@ def prepare(features: DataFrame, key: str = "id", seed: int = 101, rebalanced: b
     """Split, rebalance, encode; add ``fold`` for cross-validation; cut lineage once."""
     pipe = encoder_stages(handle_invalid=handle_invalid, unseen=unseen)
     train, test = keyed_split(features, key, seed=seed)
+    ensure_checkpoint_dir(features.sparkSession)
     if rebalanced:
+        # Sampled rows are bounded (2 * per_class); materialize them once so the
+        # encoder fits and the encoding below do not re-run the sampling plan.
         train = rebalance(train, key=key, oversample=oversample, per_class=per_class,
-                          seed=seed)
+                          seed=seed).checkpoint(eager=True)
     model = pipe.fit(features if fit_before_split else train)
     enc_train = model.transform(train).withColumn("fold", fold_column(key, folds, seed))
     enc_train = enc_train.select(key, "label", "features", "fold",
                                  F.col("label").cast("double").alias("y"))
-    ensure_checkpoint_dir(enc_train.sparkSession)
     enc_train = enc_train.checkpoint(eager=True)
     enc_test = model.transform(test).select(key, F.col("label").cast("double").alias("y"),
                                             "label", "features")
