@@ -779,3 +779,24 @@ def sql_name_repeats(spark, sf):
     v = _sql_view(spark, sf)
     return spark.sql(f"select name, count(*) as number from {v} group by name "
                      f"order by number desc")
+
+
+@register("standardize_embeddings", """
+with e as (select vec_id, unnest(embedding)::double as x,
+                  unnest(generate_series(0, len(embedding) - 1)) as dim from embeddings),
+s as (select dim, avg(x) as m, stddev_samp(x) as sd from e group by dim)
+select e.vec_id, cast(e.dim as integer) as dim,
+       case when s.sd = 0 then 0.0 else round((e.x - s.m) / s.sd, 4) end as value
+from e join s using (dim)""")
+def standardize_embeddings(spark, sf):
+    """M3+M4 on the 64-wide embedding vectors: standardize every slot, long form."""
+    from pyspark.ml.feature import StandardScaler
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    emb = tables.load(spark, sf, "embeddings").select(
+        "vec_id", array_to_vector(F.transform("embedding", lambda v: v.cast("double")))
+        .alias("vec"))
+    scaled = StandardScaler(inputCol="vec", outputCol="scaled", withMean=True,
+                            withStd=True).fit(emb).transform(emb)
+    return scaled.select("vec_id", F.posexplode(vector_to_array("scaled")).alias("dim", "v")
+                         ).select("vec_id", F.col("dim").cast("int").alias("dim"),
+                                  F.round("v", 4).alias("value"))
