@@ -629,11 +629,12 @@ def term_stats(spark, sf):
 
 @register("top_keywords", "with " + _TOKENS_CTE + """,
 per_doc as (select doc_id, term, count(*) as n from toks group by 1, 2),
-dfs as (select term, count(*) as df from per_doc group by term),
+dfs as (select term, count(*) as df, cast(sum(n) as bigint) as corpus_tf
+        from per_doc group by term),
 scored as (select p.doc_id, p.term, p.n * ln(((select count(*) from documents) + 1) / (d.df + 1))
-               as tfidf
+               as tfidf, d.corpus_tf
            from per_doc p join dfs d using (term))
-select doc_id, cast(rank as integer) as rank, term, round(tfidf, 6) as tfidf from (
+select doc_id, cast(rank as integer) as rank, term, round(tfidf, 6) as tfidf, corpus_tf from (
   select *, row_number() over (partition by doc_id order by tfidf desc, term) as rank
   from scored) r where rank <= 5""")
 def top_keywords(spark, sf):

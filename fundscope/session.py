@@ -18,7 +18,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     """Local session for tests and bench; on a cluster use the cluster's session."""
     cpus = os.environ.get("BENCH_CPUS", "8")
     master = master or f"local[{cpus}]"
-    parts = shuffle_partitions or int(cpus)
+    parts = shuffle_partitions or 4 * int(cpus)   # AQE coalesces the small ones
     spark = (
         SparkSession.builder.master(master)
         .appName(app_name)
