@@ -82,9 +82,11 @@ def later_duplicates(df: DataFrame, value: str, position: str) -> DataFrame:
 
     The value is reduced to a SHA-256 digest so the shuffle carries 32 bytes, not
     whole texts; the first position per digest comes from a partial aggregate,
-    then is joined back (no window sorts a hot value in one task).
+    then is joined back (no window sorts a hot value in one task). Nulls count
+    as one value (as pandas ``duplicated`` and a SQL window partition do); the
+    null marker cannot collide with a 64-hex-digit digest.
     """
-    digest = F.sha2(F.col(value), 256)
+    digest = F.coalesce(F.sha2(F.col(value).cast("string"), 256), F.lit("null"))
     keyed = df.withColumn("_digest", digest)
     first = (keyed.groupBy("_digest")
              .agg(F.min(position).alias("first_" + position)))

@@ -97,6 +97,9 @@ def test_later_duplicates(spark):
     df = spark.createDataFrame([(0, "a"), (1, "b"), (2, "a"), (3, "a")], "k long, t string")
     got = sorted((r.k, r.first_k) for r in shape.later_duplicates(df, "t", "k").collect())
     assert got == [(2, 0), (3, 0)]
+    nulls = spark.createDataFrame([(0, None), (1, "x"), (2, None)], "k long, t string")
+    got = [(r.k, r.first_k) for r in shape.later_duplicates(nulls, "t", "k").collect()]
+    assert got == [(2, 0)]
 
 
 def test_split_is_partition_and_repartition_independent(spark):
