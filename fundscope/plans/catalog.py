@@ -700,9 +700,11 @@ def vector_index(spark, sf):
 
 
 def _evaluate(pred: DataFrame) -> DataFrame:
-    """One row: area under ROC on hard predictions and on scores, accuracy."""
-    return (metrics.auc_hard(pred).crossJoin(metrics.auc_score(pred))
-            .crossJoin(metrics.accuracy(pred)))
+    """Long form ``metric, value``: area under ROC on hard predictions and on
+    scores, and accuracy (a union of three one-row aggregates, no join)."""
+    parts = [metrics.auc_hard(pred), metrics.auc_score(pred), metrics.accuracy(pred)]
+    return sampling.union_all([p.select(F.lit(p.columns[0]).alias("metric"),
+                                        F.col(p.columns[0]).alias("value")) for p in parts])
 
 
 @register("lr_plain")
