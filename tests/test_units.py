@@ -179,8 +179,16 @@ def test_auc_score_matches_brute_force(spark, monkeypatch):
     neg = [s for y, s in rows if y == 0]
     brute = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
     assert metrics.auc_score(df).first()[0] == pytest.approx(brute, abs=1e-12)
-    monkeypatch.setattr(metrics, "PREFIX_BUCKETS", 3)   # several range partitions
+    monkeypatch.setattr(metrics, "PREFIX_BUCKETS", 3)   # several score buckets
     assert metrics.auc_score(df).first()[0] == pytest.approx(brute, abs=1e-12)
+    # MLlib agrees once -0.0 is written as 0.0 (its RDD path keys doubles by Java
+    # equality, which tells -0.0 from 0.0; SQL grouping does not).
+    from pyspark.ml.functions import array_to_vector
+    z = df.select(F.col("label").cast("double").alias("label"),
+                  array_to_vector(F.array(-(F.col("score") + 0.0), F.col("score") + 0.0))
+                  .alias("raw"))
+    ml = BinaryClassificationEvaluator(rawPredictionCol="raw", numBins=0).evaluate(z)
+    assert ml == pytest.approx(brute, abs=1e-12)
     hard = df.select("label", (F.col("score") > 0.5).cast("int").alias("prediction"))
     ours_hard = metrics.auc_hard(hard).first()[0]
     hv = hard.select(F.col("label").cast("double").alias("label"),
