@@ -101,3 +101,19 @@ def test_streaming_ingest_matches_batch(spark, scratch):
     batch = campaign_features(read_campaigns(spark, src))
     assert landed.count() == batch.count() == 15
     assert landed.exceptAll(batch.select(*landed.columns)).count() == 0
+
+
+def test_campaign_study_end_to_end(spark, sf, scratch):
+    from fundscope.plans.study import campaign_study
+    from fundscope.sources import tables
+    camp = tables.campaigns(spark, sf)
+    out = campaign_study(camp, kinds=("logistic", "tree"),
+                         grids={"logistic": {"regParam": [0.0, 0.1]}, "tree": {"maxDepth": [3]}},
+                         folds=3, out_dir=f"{scratch}/study", cutoff=tables.CUTOFF,
+                         category=tables.CATEGORY, home=tables.HOME_COUNTRY,
+                         keep=tables.KEEP_STANDIN)
+    assert out["search"].count() == 3
+    ev = out["evaluation"].collect()
+    assert len(ev) == 6 and all(0.0 <= r.value <= 1.0 for r in ev)
+    assert spark.read.parquet(f"{scratch}/study/prf").count() == 4
+    assert out["features"].count() == 227
