@@ -14,13 +14,23 @@ from pyspark.sql import SparkSession
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "fundscope") -> SparkSession:
-    """Local session for tests and bench; on a cluster use the cluster's session."""
+              app_name: str = "fundscope", event_log_dir: str | None = None) -> SparkSession:
+    """Local session for tests and bench; on a cluster use the cluster's session.
+
+    ``event_log_dir`` writes Spark's event log there (stage and task times
+    without the web UI, which stays off).
+    """
     cpus = os.environ.get("BENCH_CPUS", "8")
     master = master or f"local[{cpus}]"
     parts = shuffle_partitions or 4 * int(cpus)   # AQE coalesces the small ones
+    builder = SparkSession.builder
+    if event_log_dir:
+        os.makedirs(event_log_dir, exist_ok=True)
+        builder = (builder.config("spark.eventLog.enabled", "true")
+                   .config("spark.eventLog.compress", "false")   # plain JSON lines
+                   .config("spark.eventLog.dir", event_log_dir))
     spark = (
-        SparkSession.builder.master(master)
+        builder.master(master)
         .appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
