@@ -6,6 +6,8 @@ from tools.check_oracle import norm
 from collections import Counter
 
 SLOW = {"lr_cv", "dt_cv", "rf_cv", "svc_cv", "predict"}
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "boolean": "BOOLEAN"}
 ORACLE = entry.oracle_sql()
 
 
@@ -27,6 +29,9 @@ def test_matches_duckdb(spark, sf, duck, name):
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     assert sorted(cols) == sorted(ocols)
+    duck_types = {d[0]: str(d[1]) for d in res.description}
+    for c, t in df.dtypes:
+        assert SPARK_TO_DUCK.get(t, t) == duck_types[c], (c, t, duck_types[c])
     order = sorted(cols)
     a = Counter(tuple(norm(r[cols.index(c)]) for c in order) for r in rows)
     b = Counter(tuple(norm(r[ocols.index(c)]) for c in order) for r in orows)
