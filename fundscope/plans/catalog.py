@@ -803,3 +803,56 @@ def standardize_embeddings(spark, sf):
     return scaled.select("vec_id", F.posexplode(vector_to_array("scaled")).alias("dim", "v")
                          ).select("vec_id", F.col("dim").cast("int").alias("dim"),
                                   F.round("v", 4).alias("value"))
+
+
+_ENCODE_CTES = _REBALANCE_CTES + (
+    "rb as (select * from neg union all select * from pos)",
+    """sidx as (select newsubCategory,
+        row_number() over (order by count(*) desc, newsubCategory) - 1 as si
+        from rb group by newsubCategory)""",
+    """sz as (select max(staff_pick) + 1 as s_sp, max(countryUS) + 1 as s_us,
+        (select count(*) from sidx) as s_sc, max(monthdead) + 1 as s_md,
+        max(monthLaunched) + 1 as s_ml, max(goalBin) + 1 as s_gb from rb)""",
+    """off as (select s_sp, s_us, s_sc, s_md, s_ml, s_gb, 0 as o_sp, s_sp - 1 as o_us,
+        s_sp + s_us - 2 as o_sc, s_sp + s_us + s_sc - 3 as o_md,
+        s_sp + s_us + s_sc + s_md - 4 as o_ml, s_sp + s_us + s_sc + s_md + s_ml - 5 as o_gb,
+        s_sp + s_us + s_sc + s_md + s_ml + s_gb - 6 as o_num from sz)""",
+    """ok as (select rb.*, sidx.si from rb join sidx using (newsubCategory)
+        where blurblen is not null and namelen is not null and campaignlen is not null
+          and preparelen is not null)""",
+    """raw as (
+        select id, copy_no, o_sp + k as slot, (staff_pick = k)::double as x
+          from (select *, unnest(range(0, s_sp - 1)) as k from ok, off)
+        union all select id, copy_no, o_us + k, (countryUS = k)::double
+          from (select *, unnest(range(0, s_us - 1)) as k from ok, off)
+        union all select id, copy_no, o_sc + k, (si = k)::double
+          from (select *, unnest(range(0, s_sc - 1)) as k from ok, off)
+        union all select id, copy_no, o_md + k, (monthdead = k)::double
+          from (select *, unnest(range(0, s_md - 1)) as k from ok, off)
+        union all select id, copy_no, o_ml + k, (monthLaunched = k)::double
+          from (select *, unnest(range(0, s_ml - 1)) as k from ok, off)
+        union all select id, copy_no, o_gb + k, (goalBin = k)::double
+          from (select *, unnest(range(0, s_gb - 1)) as k from ok, off)
+        union all select id, copy_no, o_num, blurblen::double from ok, off
+        union all select id, copy_no, o_num + 1, namelen::double from ok, off
+        union all select id, copy_no, o_num + 2, campaignlen::double from ok, off
+        union all select id, copy_no, o_num + 3, preparelen::double from ok, off)""",
+    """mom as (select slot, avg(x) as m, stddev_samp(x) as sd from raw group by slot)""",
+)
+
+
+@register("encoded_features", on_features("""
+select raw.id, cast(raw.slot as integer) as slot,
+       case when mom.sd = 0 then 0.0 else round((raw.x - mom.m) / mom.sd, 4) + 0.0 end as value
+from raw join mom using (slot)""", *_ENCODE_CTES))
+def encoded_features(spark, sf):
+    """M2+M3+M4+M5: the encoded, standardized training matrix in long form.
+
+    Index (by frequency), one-hot (drop last), assemble (rows with a null number
+    skipped) and standardize, all fitted on the rebalanced training rows.
+    """
+    from pyspark.ml.functions import vector_to_array
+    p = _prepared(spark, sf)
+    return (p.train.select("id", F.posexplode(vector_to_array("features")).alias("slot", "v"))
+            .select("id", F.col("slot").cast("int").alias("slot"),
+                    (F.round("v", 4) + 0.0).alias("value")))
