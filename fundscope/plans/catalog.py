@@ -856,3 +856,40 @@ def encoded_features(spark, sf):
     return (p.train.select("id", F.posexplode(vector_to_array("features")).alias("slot", "v"))
             .select("id", F.col("slot").cast("int").alias("slot"),
                     (F.round("v", 4) + 0.0).alias("value")))
+
+
+
+def _unscaled_ctes(base: str) -> tuple[str, ...]:
+    """Index, one-hot and assemble the rows of CTE ``base`` (long form ``raw``),
+    with every size taken from ``base`` as the fitted stages take it."""
+    sidx, sz, off, ok, raw = _ENCODE_CTES[-6:-1]
+    return (sidx.replace("from rb", f"from {base}"), sz.replace("from rb", f"from {base}"),
+            off, ok.replace("from rb join", f"from {base} rb join"), raw)
+
+
+@register("indexed_features", on_features("""
+select raw.id, cast(raw.slot as integer) as slot,
+       case when nd.n > 20 then raw.x else cast(ix.idx as double) end as value
+from raw join nd using (slot) left join ix on ix.slot = raw.slot and ix.v = raw.x""",
+    "fb as (select *, 0 as copy_no from features)", *_unscaled_ctes("fb"),
+    "dv as (select distinct slot, x as v from raw)",
+    "nd as (select slot, count(*) as n, max(case when v = 0 then 1 else 0 end) as has_zero "
+    "from dv group by slot)",
+    """ix as (select dv.slot, dv.v,
+        case when dv.v = 0 then 0
+             else row_number() over (partition by dv.slot, dv.v = 0 order by dv.v) - 1
+                  + nd.has_zero end as idx
+        from dv join nd using (slot))"""))
+def indexed_features(spark, sf):
+    """M7 checked: categorical slots (<= 20 values) re-indexed, long form.
+
+    Value 0 keeps index 0 (documented); other values take ascending order,
+    which is Spark's current assignment. Continuous slots pass through.
+    """
+    from pyspark.ml.functions import vector_to_array
+    f = features(spark, sf)
+    enc = models.encoder_stages(scale=False, output="modelFeatures").fit(f).transform(f)
+    vi = models.vector_indexer("modelFeatures", "indexFeatures").fit(enc)
+    return (vi.transform(enc)
+            .select("id", F.posexplode(vector_to_array("indexFeatures")).alias("slot", "v"))
+            .select("id", F.col("slot").cast("int").alias("slot"), F.col("v").alias("value")))
