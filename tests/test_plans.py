@@ -9,7 +9,8 @@ import __spark_entry__ as entry
 # These run jobs while being planned (model fits, exact quantiles).
 EAGER = {"lr_cv", "dt_cv", "rf_cv", "svc_cv", "predict", "lr_plain", "model_matrix",
          "vector_index", "describe_goal", "string_index", "standardize",
-         "standardize_embeddings", "auc_score", "roc_points"}
+         "standardize_embeddings", "auc_score", "roc_points", "encoded_features",
+         "indexed_features"}
 
 
 def plan(spark, sf, name):
