@@ -893,3 +893,17 @@ def indexed_features(spark, sf):
     return (vi.transform(enc)
             .select("id", F.posexplode(vector_to_array("indexFeatures")).alias("slot", "v"))
             .select("id", F.col("slot").cast("int").alias("slot"), F.col("v").alias("value")))
+
+
+@register("blurb_counter", on_campaigns(
+    "select blurb, count(*) as count from campaigns group by blurb"))
+def blurb_counter(spark, sf):
+    """A14, ``Counter`` semantics: the null blurb is a value of its own."""
+    return stats.value_counts(campaigns(spark, sf), "blurb", include_null=True)
+
+
+@register("blurb_value_counts", on_campaigns(
+    "select blurb, count(*) as count from campaigns where blurb is not null group by blurb"))
+def blurb_value_counts(spark, sf):
+    """A14, ``value_counts`` semantics: nulls dropped, largest first."""
+    return stats.value_counts(campaigns(spark, sf), "blurb", include_null=False)
