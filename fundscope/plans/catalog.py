@@ -907,3 +907,32 @@ def blurb_counter(spark, sf):
 def blurb_value_counts(spark, sf):
     """A14, ``value_counts`` semantics: nulls dropped, largest first."""
     return stats.value_counts(campaigns(spark, sf), "blurb", include_null=False)
+
+
+# ------------------------------------------------------------ file round trips
+
+def _export_dir(spark, kind: str) -> str:
+    """A fresh folder under the reliable checkpoint folder (shared on a cluster)."""
+    import uuid
+    from fundscope.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/exports/{kind}-{uuid.uuid4().hex}"
+
+
+@register("json_round_trip", ORACLE["flatten_struct"])
+def json_round_trip(spark, sf):
+    """S5 then S1 + S2: raw crawl records written as line JSON, read back with the
+    declared schema and flattened."""
+    from fundscope.sources import files
+    path = _export_dir(spark, "crawl-json")
+    files.write_json(tables.raw_campaigns(spark, sf), path)
+    return files.read_campaigns(spark, path)
+
+
+@register("delimited_round_trip", """
+select doc_id as idx, coalesce(text, '') as text from documents""")
+def delimited_round_trip(spark, sf):
+    """Whole documents written as escaped ``idx|text`` lines and read back."""
+    from fundscope.sources import files
+    path = _export_dir(spark, "descriptions")
+    files.write_delimited_text(tables.load(spark, sf, "documents"), path, "doc_id", "text")
+    return files.read_delimited_text(spark, path)
