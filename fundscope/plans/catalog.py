@@ -936,3 +936,33 @@ def delimited_round_trip(spark, sf):
     path = _export_dir(spark, "descriptions")
     files.write_delimited_text(tables.load(spark, sf, "documents"), path, "doc_id", "text")
     return files.read_delimited_text(spark, path)
+
+
+@register("csv_round_trip", on_campaigns("""
+select c.id as row_idx, c.id, c.name, c.blurb, c.goal, strftime(c.created_at, '%Y-%m-%d') as created_at,
+       c.staff_pick, d.text as Description,
+       case when c.staff_pick then 1 else 0 end as Image,
+       case when c.country = 'NATION_0' then 1 else 0 end as Video
+from campaigns c left join documents d on d.doc_id = c.id % 200"""))
+def csv_round_trip(spark, sf):
+    """S9 then S8: a scraped-batch table (campaign columns, dates as text, whole
+    multi-line document texts as ``Description``) written as CSV with a header,
+    read back with the declared schema."""
+    from fundscope.sources import files
+    from fundscope.sources.schemas import SCRAPED
+    c = campaigns(spark, sf)
+    docs = F.broadcast(tables.load(spark, sf, "documents")       # doc_id key < 200: bounded
+                       .where((F.col("doc_id") >= 0) & (F.col("doc_id") < 200))
+                       .select("doc_id", F.col("text").alias("Description")))
+    scraped = (c.join(docs, F.col("doc_id") == F.col("id") % 200, "left")
+               .withColumn("row_idx", F.col("id"))
+               .withColumn("converted_pledged_amount", F.lit(None).cast("long"))
+               .withColumn("Image", C.bool_to_int("staff_pick"))
+               .withColumn("Video", C.indicator(F.col("country") == HOME_COUNTRY)))
+    for d in ("created_at", "launched_at", "deadline"):
+        scraped = scraped.withColumn(d, F.date_format(d, "yyyy-MM-dd"))
+    path = _export_dir(spark, "scraped-csv")
+    files.write_csv(scraped.select("row_idx", *[f.name for f in SCRAPED.fields]), path)
+    back = files.read_scraped_csv(spark, path)
+    return back.select("row_idx", "id", "name", "blurb", "goal", "created_at", "staff_pick",
+                       "Description", "Image", "Video")

@@ -68,8 +68,14 @@ def read_scraped_csv(spark: SparkSession, path: str,
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV with header; quotes multi-line text."""
-    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    """CSV with header; quotes multi-line text.
+
+    Spark's CSV writer trims leading and trailing blanks by default; both are
+    turned off so text round-trips exactly.
+    """
+    (df.write.mode(mode).option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(path))
 
 
 def _escape(col):

@@ -10,7 +10,8 @@ import __spark_entry__ as entry
 EAGER = {"lr_cv", "dt_cv", "rf_cv", "svc_cv", "predict", "lr_plain", "model_matrix",
          "vector_index", "describe_goal", "string_index", "standardize",
          "standardize_embeddings", "auc_score", "roc_points", "encoded_features",
-         "indexed_features", "json_round_trip", "delimited_round_trip"}
+         "indexed_features", "json_round_trip", "delimited_round_trip",
+         "csv_round_trip"}
 
 
 def plan(spark, sf, name):

@@ -311,13 +311,15 @@ def test_json_sink_round_trip(spark, scratch):
 def test_csv_round_trip_and_merge(spark, scratch):
     fields = [f.name for f in schemas.SCRAPED.fields]
     row = {f: None for f in fields}
-    row.update(id=1, name="x", Description="line1\nline2, \"q\"", Image=1, Video=0)
+    row.update(id=1, name="x", blurb=" padded ", Description="line1\nline2, \"q\"", Image=1,
+               Video=0)
     ddl = "row_idx long, " + ", ".join(f"{f.name} {f.dataType.simpleString()}"
                                        for f in schemas.SCRAPED.fields)
     df = spark.createDataFrame([(0, *[row[f] for f in fields])], ddl)
     files.write_csv(df, f"{scratch}/project_scraped_0_1.csv")
     back = files.read_scraped_csv(spark, f"{scratch}/project_scraped_0_1.csv/*.csv").first()
     assert back.Description == "line1\nline2, \"q\"" and back.Image == 1 and back.row_idx == 0
+    assert back.blurb == " padded "        # no trimming on write
 
 
 def test_delimited_text_round_trip(spark, scratch):
