@@ -49,3 +49,20 @@ def test_every_query_has_stable_schema(spark, sf):
     df = entry.entry(spark)
     assert df.columns == ["goalBin", "campaigns", "successes", "success_rate", "share"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", ["epoch_to_date", "flatten_struct", "json_round_trip",
+                                  "month_counts", "per_year", "filter_since", "csv_round_trip"])
+def test_dates_do_not_depend_on_session_time_zone(spark, sf, duck, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = entry.queries()[name](spark, sf)
+        rows, cols = df.collect(), df.columns
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    res = duck.execute(ORACLE[name])
+    ocols = [d[0] for d in res.description]
+    order = sorted(cols)
+    a = Counter(tuple(norm(r[cols.index(c)]) for c in order) for r in rows)
+    b = Counter(tuple(norm(r[ocols.index(c)]) for c in order) for r in res.fetchall())
+    assert a == b
