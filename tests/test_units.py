@@ -375,3 +375,15 @@ def test_tech_slice_round_trip_month_text(spark, scratch):
     got = sorted((r.id, r.m) for r in back.select("id", C.month_text("launched_at").alias("m"))
                  .collect())
     assert got == [(1, "03"), (2, "11")]
+
+
+def test_distinct_counts_approx_option(spark):
+    df = spark.range(20000).select((F.col("id") % 5000).alias("k"))
+    exact = stats.distinct_counts(df, ["k"]).first()["distinct_k"]
+    approx = stats.distinct_counts(df, ["k"], approx=True, rsd=0.02).first()["distinct_k"]
+    assert exact == 5000 and abs(approx - exact) / exact < 0.06
+
+
+def test_merge_bins_step(spark):
+    df = spark.createDataFrame([(v,) for v in (1, 3, 4, 5, 7)], "b int")
+    assert [r[0] for r in df.select(C.merge_bins("b", 4)).collect()] == [1, 3, 4, 4, 4]
