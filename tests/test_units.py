@@ -387,3 +387,15 @@ def test_distinct_counts_approx_option(spark):
 def test_merge_bins_step(spark):
     df = spark.createDataFrame([(v,) for v in (1, 3, 4, 5, 7)], "b int")
     assert [r[0] for r in df.select(C.merge_bins("b", 4)).collect()] == [1, 3, 4, 4, 4]
+
+
+def test_value_share_counts_nulls_as_not_equal(spark):
+    df = spark.createDataFrame([("US",), ("US",), ("DE",), (None,)], "country string")
+    assert stats.value_share(df, "country", "US").first()["share"] == 0.5
+
+
+def test_share_by_against_an_external_total(spark):
+    part = spark.createDataFrame([("a",), ("a",), ("b",)], "k string")
+    whole = spark.range(6)
+    got = {r.k: r.share for r in stats.share_by(part, "k", total_of=whole).collect()}
+    assert got == {"a": 2 / 6, "b": 1 / 6}
