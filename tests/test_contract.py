@@ -2,22 +2,23 @@
 import pytest
 
 import __spark_entry__ as entry
+from fundscope.plans import catalog
 
 SLOW = {"lr_cv", "dt_cv", "rf_cv", "svc_cv", "predict", "lr_plain", "model_matrix"}
 
 
 def test_oracle_keys_are_registered():
-    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(catalog.ORACLE) <= set(catalog.QUERIES)
 
 
 def test_query_names_avoid_reserved_words():
-    for name in entry.queries():
+    for name in catalog.QUERIES:
         assert "pipeline" not in name and not name.startswith("op")
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - SLOW))
 def test_columns_unique_and_named(spark, sf, name):
-    cols = entry.queries()[name](spark, sf).columns
+    cols = catalog.QUERIES[name](spark, sf).columns
     assert len(cols) == len(set(cols))
     assert all(c and "(" not in c for c in cols)
 

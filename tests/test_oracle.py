@@ -2,13 +2,14 @@
 import pytest
 
 import __spark_entry__ as entry
+from fundscope.plans import catalog
 from tools.check_oracle import norm
 from collections import Counter
 
 SLOW = {"lr_cv", "dt_cv", "rf_cv", "svc_cv", "predict"}
 SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
                  "date": "DATE", "boolean": "BOOLEAN"}
-ORACLE = entry.oracle_sql()
+ORACLE = catalog.ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +24,7 @@ def duck(sf):
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_matches_duckdb(spark, sf, duck, name):
-    df = entry.queries()[name](spark, sf)
+    df = catalog.QUERIES[name](spark, sf)
     rows, cols = df.collect(), df.columns
     res = duck.execute(ORACLE[name])
     ocols = [d[0] for d in res.description]
@@ -38,9 +39,9 @@ def test_matches_duckdb(spark, sf, duck, name):
     assert a == b
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(ORACLE) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(ORACLE) - SLOW))
 def test_rows_only_queries_run(spark, sf, name):
-    df = entry.queries()[name](spark, sf)
+    df = catalog.QUERIES[name](spark, sf)
     assert df.count() >= 0
     assert df.columns
 
@@ -56,7 +57,7 @@ def test_every_query_has_stable_schema(spark, sf):
 def test_dates_do_not_depend_on_session_time_zone(spark, sf, duck, name):
     spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
     try:
-        df = entry.queries()[name](spark, sf)
+        df = catalog.QUERIES[name](spark, sf)
         rows, cols = df.collect(), df.columns
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -5,6 +5,7 @@ import io
 import pytest
 
 import __spark_entry__ as entry
+from fundscope.plans import catalog
 
 # These run jobs while being planned (model fits, exact quantiles).
 EAGER = {"lr_cv", "dt_cv", "rf_cv", "svc_cv", "predict", "lr_plain", "model_matrix",
@@ -17,11 +18,11 @@ EAGER = {"lr_cv", "dt_cv", "rf_cv", "svc_cv", "predict", "lr_plain", "model_matr
 def plan(spark, sf, name):
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
-        entry.queries()[name](spark, sf).explain("formatted")
+        catalog.QUERIES[name](spark, sf).explain("formatted")
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - EAGER))
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - EAGER))
 def test_no_cross_or_nested_loop_joins(spark, sf, name):
     text = plan(spark, sf, name)
     assert "CartesianProduct" not in text
