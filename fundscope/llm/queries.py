@@ -2,16 +2,28 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fundscope.llm import bpe, langid
 from fundscope.llm import line_dedup as ld
+from fundscope.llm import quality_classifier as qc
+from fundscope.llm import quality_rules as qr
 from fundscope.llm import sharding as sh
 from fundscope.llm.common import documents, stored, work_path
 
 SHARDS = 8
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select(
+        "doc_id", "text", "lang", langid.held_out(F.col("doc_id"), 4, 2).alias("held_out"))
+    model = langid.train(docs.where(~F.col("held_out")))
+    return (langid.predict(docs.select("doc_id", "held_out", "text"), model)
+            .select("doc_id", "held_out", "lang_pred", "score"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = ld.line_dedup(documents(spark, sf_dir).select("doc_id", "text"))
     kept = ld.kept_text(F.col("text"), F.col("keep_runs"))
@@ -19,6 +31,29 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(kept.cast("binary"), 256).alias("kept_sha256"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    held = langid.held_out(F.col("doc_id"), 3, 1)
+    weights = qc.train(docs, labels.where(~held))
+    scored = qc.score(docs.withColumn("held_out", held), weights)
+    return scored.select("doc_id", "held_out", "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    out = bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(bpe.ids_text().cast("binary"), 256).alias("ids_sha256"),
+                      F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return qr.judged(documents(spark, sf_dir)).select(
+        "doc_id", *qr.FEATURES, "base_failed", "kept", "log_ppl", "lower", "upper")
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = sh.sized(documents(spark, sf_dir))
     totals = stored(sh.cell_totals(records), "slot-totals")
@@ -33,7 +68,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op2_line_dedup": op2_line_dedup,
+    "op7_quality": op7_quality,
+    "op8_bpe": op8_bpe,
+    "op9_quality_rules": op9_quality_rules,
     "op10_sharding": op10_sharding,
 }
 
