@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fundscope.llm.common import HASH_SEED, fresh, key_pair, salted_join
+from fundscope.llm.common import HASH_SEED, fresh, key_pair, salted_join, stored
 
 MIN_DOCS = 10
 MIN_CHARS = 1
@@ -41,15 +41,13 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        *key_pair(F.col(id_col), text))
 
 
-def _sorted_lines(base: DataFrame, min_chars: int) -> DataFrame:
+def _hashed_lines(base: DataFrame, min_chars: int) -> DataFrame:
     key = line_key(F.col("line"))
     return (base.select("id", "k1", "k2", F.posexplode(_split(F.col("text"))).alias("pos", "line"))
             .select("id", "k1", "k2", "pos", F.xxhash64(key).alias("h1"),
                     F.xxhash64(F.lit(HASH_SEED), key).alias("h2"),
                     F.char_length(key).alias("chars"))
-            .where(F.col("chars") >= min_chars).drop("chars")
-            .repartitionByRange("h1", "h2", "k1", "k2")
-            .sortWithinPartitions("h1", "h2", "k1", "k2", "pos"))
+            .where(F.col("chars") >= min_chars).drop("chars"))
 
 
 def _runs(drops: Column, n_lines: Column) -> Column:
@@ -71,9 +69,12 @@ def line_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     A key found in ``min_docs`` documents or more is dropped everywhere, or, with
     ``keep_first``, everywhere but at its first place by (id, position).
     """
-    lines = _sorted_lines(_keyed(docs, id_col, text_col), min_chars)
+    # written once: the sampling of ranges, the counts and the join all read hashes, not texts
+    lines = stored(_hashed_lines(_keyed(docs, id_col, text_col), min_chars), "line-hashes")
+    ordered = (lines.repartitionByRange("h1", "h2", "k1", "k2")
+               .sortWithinPartitions("h1", "h2", "k1", "k2", "pos"))
     first = F.row_number().over(Window.partitionBy("h1", "h2", "k1", "k2").orderBy("pos"))
-    firsts = lines.withColumn("nth", first).where("nth = 1")
+    firsts = ordered.withColumn("nth", first).where("nth = 1")
     aggs = [F.count(F.lit(1)).alias("n_docs")]
     if keep_first:
         aggs.append(F.min(F.struct("id", "k1", "k2", "pos")).alias("first"))
