@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from fundscope.llm import bpe, langid
 from fundscope.llm import line_dedup as ld
+from fundscope.llm import minhash
 from fundscope.llm import quality_classifier as qc
 from fundscope.llm import quality_rules as qr
 from fundscope.llm import sharding as sh
@@ -31,6 +32,12 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(kept.cast("binary"), 256).alias("kept_sha256"))
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: its class, and whether it stands for the class."""
+    out = minhash.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"))
+    return out.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
@@ -70,6 +77,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_line_dedup": op2_line_dedup,
+    "op3_near_duplicates": op3_near_duplicates,
     "op7_quality": op7_quality,
     "op8_bpe": op8_bpe,
     "op9_quality_rules": op9_quality_rules,
