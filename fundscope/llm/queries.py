@@ -6,9 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundscope.llm import bpe, langid
+from fundscope.llm import ann, bpe, langid
 from fundscope.llm import line_dedup as ld
-from fundscope.llm import minhash
+from fundscope.llm import minhash, mixing
 from fundscope.llm import quality_classifier as qc
 from fundscope.llm import quality_rules as qr
 from fundscope.llm import sharding as sh
@@ -38,6 +38,16 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(documents(spark, sf_dir)).select(
+        "doc_id", "source", "lang", "topic", "n_tokens", "factor", "prob", "sampled")
+
+
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return ann.search(vectors, F.col("vec_id") % 100 == 0)
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
@@ -78,6 +88,8 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_line_dedup": op2_line_dedup,
     "op3_near_duplicates": op3_near_duplicates,
+    "op4_mixing": op4_mixing,
+    "op5_neighbours": op5_neighbours,
     "op7_quality": op7_quality,
     "op8_bpe": op8_bpe,
     "op9_quality_rules": op9_quality_rules,
