@@ -12,6 +12,7 @@ from fundscope.llm import minhash, mixing
 from fundscope.llm import quality_classifier as qc
 from fundscope.llm import quality_rules as qr
 from fundscope.llm import sharding as sh
+from fundscope.llm import suffix_dedup as sd
 from fundscope.llm.common import documents, stored, work_path
 
 SHARDS = 8
@@ -48,6 +49,11 @@ def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(vectors, F.col("vec_id") % 100 == 0)
 
 
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sd.suffix_dedup(documents(spark, sf_dir).select("doc_id", "text")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
@@ -90,6 +96,7 @@ QUERIES = {
     "op3_near_duplicates": op3_near_duplicates,
     "op4_mixing": op4_mixing,
     "op5_neighbours": op5_neighbours,
+    "op6_repeats": op6_repeats,
     "op7_quality": op7_quality,
     "op8_bpe": op8_bpe,
     "op9_quality_rules": op9_quality_rules,
