@@ -129,7 +129,7 @@ def fit_router(x: np.ndarray, part: np.ndarray, epochs: int = 60) -> tuple[np.nd
 def train(rows: DataFrame, total: int, sample: int = SAMPLE, parts: int = PARTS):
     """The router, fitted on a bounded sample of the usable rows."""
     draw = F.pmod(F.xxhash64(F.lit(HASH_SEED), "vec_id"), F.lit(1 << 30))
-    table = rows.where(draw < sample / max(total, 1) * (1 << 30)).orderBy("vec_id").toPandas()
+    table = rows.where(draw < sample / max(total, 1) * (1 << 30)).orderBy("vec_id").toArrow().to_pandas()
     x = np.array(table.v.tolist(), float)
     if not len(x):
         return None

@@ -92,7 +92,7 @@ def train(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     if not langs:
         return [], np.zeros((FEATURES + 1, 0), np.float32)
     frequencies = (rows.select("text").mapInArrow(_document_frequencies, "feature int, n long")
-                   .groupBy("feature").agg(F.sum("n").alias("n")).toPandas())  # FEATURES rows at most
+                   .groupBy("feature").agg(F.sum("n").alias("n")).toArrow().to_pandas())  # FEATURES rows at most
     df = np.zeros(FEATURES)
     df[frequencies.feature.to_numpy(int)] = frequencies.n.to_numpy()
     idf = np.log((1 + sum(counts.values())) / (1 + df)) + 1
@@ -101,7 +101,7 @@ def train(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     # the id only draws the sample; it is no feature
     sample = rows.where(draw < share[F.col("lang")] * (1 << 30)).select("text", "lang")
     table = sample.mapInArrow(
-        _example_rows, "lang string, features array<int>, shares array<float>").toPandas()
+        _example_rows, "lang string, features array<int>, shares array<float>").toArrow().to_pandas()
     table["order"] = [(len(f), float(s.sum()), int(f.sum()) if len(f) else 0)
                       for f, s in zip(table.features, table.shares, strict=True)]
     table = table.sort_values(["lang", "order"], kind="stable")

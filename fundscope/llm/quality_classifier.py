@@ -101,7 +101,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
              .select("doc_id", "label", "text")
              .mapInArrow(_example_rows, f"doc_id {id_type}, label int, features array<int>, "
                                         "shares array<float>")
-             .dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id"))
+             .dropDuplicates(["doc_id"]).toArrow().to_pandas().sort_values("doc_id"))
     model = Ftrl(FEATURES)
     examples = [(f, SCALE * s) for f, s in zip(table.features, table.shares, strict=True)]
     model.fit(examples, table.label.to_numpy(np.float32)[:, None], EPOCHS)
