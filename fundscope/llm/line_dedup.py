@@ -83,7 +83,7 @@ def line_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     if keep_first:
         hits = hits.where(~F.struct("id", "k1", "k2", "pos").eqNullSafe(F.col("first")))
     return (hits.groupBy("k1", "k2")
-            .agg(F.sort_array(F.collect_list("pos")).alias("drops")))
+            .agg(F.sort_array(F.collect_set("pos")).alias("drops")))
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

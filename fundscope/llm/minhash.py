@@ -199,11 +199,11 @@ def _similar(pairs: DataFrame, sets: DataFrame, weighting: str) -> DataFrame:
         whole = F.size("sa") + F.size("sb") - common
     else:
         map_b = F.map_from_arrays("sb", "cb")
-        common = F.aggregate(F.arrays_zip("sa", "ca"), F.lit(0.0), lambda acc, x: acc + F.coalesce(
-            F.least(x["ca"], F.try_element_at(map_b, x["sa"])), F.lit(0)))
+        other = lambda x: F.coalesce(F.try_element_at(map_b, x["sa"]), F.lit(0))
+        common = F.aggregate(F.arrays_zip("sa", "ca"), F.lit(0.0),
+                             lambda acc, x: acc + F.least(x["ca"], other(x)))
         total = [F.aggregate(c, F.lit(0.0), lambda acc, x: acc + x) for c in ("ca", "cb")]
         whole = total[0] + total[1] - common
-        common = F.when(F.array_size(F.array_intersect("sa", "sb")) > 0, common).otherwise(0.0)
     return both.select("a", "b", (common / whole).alias("similarity"))
 
 

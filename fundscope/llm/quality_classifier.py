@@ -11,7 +11,7 @@ its n-gram shares with the weights, taken as a mean over its n-grams.
 Cases: null and empty texts have no n-grams and get the score of the intercept. Labels
 that are null or of unknown documents are not used; of several labels of an id one is
 used. Without any label all scores are 0.5. Repeated rows get equal scores. Other
-columns are not read.
+columns pass through untouched.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundscope.llm.common import HASH_SEED
+from fundscope.llm.common import HASH_SEED, fresh
 from fundscope.llm.ftrl import Ftrl, probabilities
 
 FEATURES = 1 << 18
@@ -111,7 +111,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def score(docs: DataFrame, weights: np.ndarray, text_col: str = "text") -> DataFrame:
-    """All columns but the text, plus ``score`` (0 to 1)."""
+    """All columns but the text, plus ``score`` (0 to 1); a taken name gets an underscore."""
+    name = fresh(docs, "score")
     shared = docs.sparkSession.sparkContext.broadcast(weights)    # FEATURES floats
     kept = [f for f in docs.schema.fields if f.name != text_col]
     at = docs.columns.index(text_col)
@@ -126,7 +127,7 @@ def score(docs: DataFrame, weights: np.ndarray, text_col: str = "text") -> DataF
             scores = probabilities(np.array(margins, np.float64)[:, None])[:, 0]
             columns = [batch.column(i) for i in range(batch.num_columns) if i != at]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(scores, pa.float64())],
-                                             [*[f.name for f in kept], "score"])
+                                             [*[f.name for f in kept], name])
 
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept)
-    return docs.mapInArrow(run, f"{schema}score double")
+    return docs.mapInArrow(run, f"{schema}{name} double")

@@ -4,9 +4,10 @@ Texts are UTF-8 bytes; matches never cross documents. Each ``LENGTH``-byte windo
 to a shard by the least hash among its short substrings (its anchor), which follows from
 the window's bytes alone, so equal windows always meet. Anchors are counted over all
 documents first: a window whose anchor occurs once is unique and goes no further. Windows
-of one anchor in a row form a piece; equal pieces are summed before they are shuffled, so
-groups of copies cost one piece. Pieces whose anchor has several different contents go to
-suffix-array shards of about ``SHARD_BYTES``: each shard's array is built by induced sorting
+of one anchor in a row form a piece, known by a 128-bit hash; equal pieces are summed first, so
+a group of copies costs one row a piece and no text. Only where an anchor has several
+different contents, one of them occurring once, are the contents fetched (one place of
+each) and sent to suffix-array shards of about ``SHARD_BYTES``: each shard's array is built by induced sorting
 (suffixes classified, leftmost-smaller substrings sorted recursively, the rest induced
 linearly) and read through permuted common prefixes.
 
@@ -37,9 +38,9 @@ from fundscope.llm.minhash import GOLD, U, mix
 from fundscope.llm.suffix_array import repeated_starts
 
 LENGTH = 400
-GRAM = 32                       # bytes of an anchor
+GRAM = 96                       # bytes of an anchor
 CHUNK = 4 << 20                 # windows handled at once; positions in a chunk fit 24 bits
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 HOT_PIECES = 1500
 SECOND = U(0xD6E8FEB86659FD93)  # an odd multiplier
 BYTE_CODE = mix((np.arange(256, dtype=np.uint64) + U(1)) * GOLD)
@@ -95,47 +96,56 @@ def anchors(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndar
     return np.concatenate(starts), np.concatenate(places), np.concatenate(hashes)
 
 
+def _high_low(content: bytes) -> tuple[int, int]:
+    """128-bit hash as two signed longs."""
+    c = xxhash.xxh3_128_intdigest(content)
+    return (c >> 64) - (1 << 63), (c & ((1 << 64) - 1)) - (1 << 63)
+
+
+PIECE = [("anchor", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("start", pa.int64()),
+         ("end", pa.int64())]
+
+
 def _describer(length: int):
+    """Size, digest and pieces of each text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, digests, hashes = [], [], []
+            sizes, digests, counts, columns = [], [], [0], [[] for _ in PIECE]
             for text in batch.column("text").to_pylist():
-                data = text.encode()
-                sizes.append(len(data))
-                digests.append(hashlib.sha256(data).hexdigest())
-                hashes.append(anchors(np.frombuffer(data, np.uint8), length)[2].view(np.int64))
+                raw = text.encode()
+                sizes.append(len(raw))
+                digests.append(hashlib.sha256(raw).hexdigest())
+                first, _, h = anchors(np.frombuffer(raw, np.uint8), length)
+                ends = np.append(first[1:] - 1, len(raw) - length)[: len(first)] + length
+                view = memoryview(raw)
+                hashes = [_high_low(view[a:b]) for a, b in zip(first.tolist(), ends.tolist(),
+                                                               strict=True)]
+                c1, c2 = zip(*hashes, strict=True) if hashes else ((), ())
+                for column, values in zip(columns, (h.view(np.int64), c1, c2, first, ends),
+                                          strict=True):
+                    column.append(np.array(values, np.int64))
+                counts.append(counts[-1] + len(first))
+            pieces = pa.StructArray.from_arrays(
+                [pa.array(np.concatenate(c)) if c else pa.array([], pa.int64()) for c in columns],
+                [n for n, _ in PIECE])
             keys = [batch.column(c) for c in ("doc_id", "k1", "k2")]
             yield pa.RecordBatch.from_arrays(
-                [*keys, pa.array(sizes, pa.int64()), pa.array(digests),
-                 pa.array(hashes, pa.list_(pa.int64()))],
-                ["doc_id", "k1", "k2", "n_bytes", "sha256", "anchors"])
+                [*keys, pa.array(sizes, pa.int64()), pa.array(digests, pa.string()),
+                 pa.ListArray.from_arrays(pa.array(counts, pa.int32()), pieces)],
+                ["doc_id", "k1", "k2", "n_bytes", "sha256", "pieces"])
     return run
 
 
-def _cutter(length: int):
-    """Pieces of each document: the windows in a row under one repeated anchor."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[list] = [[] for _ in range(7)]
-            for k1, k2, text, wanted in zip(*(batch.column(c).to_pylist() for c in (
-                    "k1", "k2", "text", "runs")), strict=True):
-                raw = text.encode()
-                data = np.frombuffer(raw, np.uint8)
-                first, _, h = anchors(data, length)
-                last = np.append(first[1:] - 1, len(data) - length)
-                for j in sorted(wanted):
-                    a, b = int(first[j]), int(last[j]) + length
-                    c = xxhash.xxh3_128_intdigest(raw[a:b])
-                    for column, value in zip(out, (k1, k2, a, int(h[j].view(np.int64)),
-                                                   (c >> 64) - (1 << 63),
-                                                   (c & ((1 << 64) - 1)) - (1 << 63),
-                                                   raw[a:b]), strict=True):
-                        column.append(value)
-            types = [pa.int64()] * 6 + [pa.binary()]
+def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Contents of wanted pieces of each text."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            raw = batch.column("text")[row].as_py().encode()
+            wanted = batch.column("wanted")[row].as_py()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(v, t) for v, t in zip(out, types, strict=True)],
-                ["k1", "k2", "start", "anchor", "c1", "c2", "content"])
-    return run
+                [pa.array([w[c] for w in wanted], pa.int64()) for c in ("anchor", "c1", "c2")]
+                + [pa.array([raw[w["start"]: w["end"]] for w in wanted], pa.binary())],
+                ["anchor", "c1", "c2", "content"])
 
 
 def _shard_runs(length: int):
@@ -171,46 +181,60 @@ def _window_hashes(length: int):
     return run
 
 
-def repeated_runs(pieces: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES,
-                  hot_pieces: int = HOT_PIECES) -> DataFrame:
-    """``anchor, c1, c2, starts, ends``: repeated bytes of each piece content."""
-    spark = pieces.sparkSession
+def _array_runs(cool: DataFrame, length: int, shard_bytes: int) -> DataFrame:
+    """Repeated runs of contents by suffix-array shards; anchors are dealt to shards by hash."""
+    total = cool.agg(F.sum(F.length("content"))).first()[0] or 0
+    shards = int(total // shard_bytes) + 1
+    return (cool.select(F.pmod(F.hash("anchor"), F.lit(shards)).alias("shard"), "anchor", "c1",
+                        "c2", "content")
+            .repartition(shards, "shard").groupBy("shard").applyInPandas(
+                _shard_runs(length),
+                "anchor long, c1 long, c2 long, starts array<long>, ends array<long>"))
+
+
+def _hash_runs(hot: DataFrame, length: int) -> DataFrame:
+    """Repeated runs of contents of hot anchors by hashes of all their windows."""
+    windows = stored(hot.select("anchor", "c1", "c2", "content").mapInArrow(
+        _window_hashes(length), "anchor long, c1 long, c2 long, at long, w1 long, w2 long"),
+        "windows")
+    again = (windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n"))
+             .where("n > 1").select("w1", "w2"))
+    at = (salted_join(windows, again, ["w1", "w2"], F.col("c1"))
+          .groupBy("anchor", "c1", "c2").agg(F.sort_array(F.collect_list("at")).alias("starts")))
+    return at.withColumn("ends", F.transform("starts", lambda x: x + length))
+
+
+def repeated_runs(texts: DataFrame, pieces: DataFrame, length: int = LENGTH,
+                  shard_bytes: int = SHARD_BYTES, hot_pieces: int = HOT_PIECES) -> DataFrame:
+    """``anchor, c1, c2, starts, ends``: repeated bytes of each piece content.
+
+    ``texts`` has ``k1, k2, text``; ``pieces`` one row per piece of each.
+    """
     contents = stored(pieces.groupBy("anchor", "c1", "c2").agg(
-        F.count(F.lit(1)).alias("n"), F.first("content").alias("content")), "contents")
-    kinds = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"))
-    kinds = kinds.where("kinds > 1")
+        F.count(F.lit(1)).alias("n"),
+        *[F.first(c).alias(c) for c in ("k1", "k2", "start", "end")]), "contents")
     # a content that occurs twice is repeated from end to end
     whole = contents.where("n > 1").select(
         "anchor", "c1", "c2", F.array(F.lit(0).cast("long")).alias("starts"),
-        F.array(F.length("content").cast("long")).alias("ends"))
-    mixed = stored(salted_join(contents, kinds, ["anchor"], F.col("c1")), "mixed")
-    cool = mixed.where(F.col("kinds") <= hot_pieces)
-    total = cool.agg(F.sum(F.length("content"))).first()[0] or 0
-    shards = int(total // shard_bytes) + 1
-    by_array = (cool.select(F.pmod(F.hash("anchor"), F.lit(shards)).alias("shard"), "anchor", "c1",
-                            "c2", "content")
-                .groupBy("shard").applyInPandas(
-                    lambda pdf: _shard_runs(length)(pdf),
-                    "anchor long, c1 long, c2 long, starts array<long>, ends array<long>"))
-    parts = [whole, by_array.join(whole.select("anchor", "c1", "c2"), ["anchor", "c1", "c2"],
-                                  "left_anti")]
-    hot = mixed.where((F.col("kinds") > hot_pieces) & (F.col("n") == 1))
+        F.array(F.col("end") - F.col("start")).alias("ends"))
+    kinds = (contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"),
+                                            F.min("n").alias("least"))
+             .where("kinds > 1 and least = 1").drop("least"))
+    mixed = salted_join(contents, kinds, ["anchor"], F.col("c1"))
+    wanted = (mixed.groupBy("k1", "k2").agg(F.collect_list(F.struct(
+        "anchor", "c1", "c2", "start", "end", "kinds", "n")).alias("wanted")))
+    found = stored(texts.join(wanted.hint("shuffle_hash"), ["k1", "k2"])
+                   .select("text", "wanted").mapInArrow(
+                       _fetch, "anchor long, c1 long, c2 long, content binary")
+                   .dropDuplicates(["anchor", "c1", "c2"]), "fetched")
+    mixed = stored(found.join(mixed.select("anchor", "c1", "c2", "kinds", "n"),
+                              ["anchor", "c1", "c2"]), "mixed")
+    runs = _array_runs(mixed.where(F.col("kinds") <= hot_pieces), length, shard_bytes)
+    hot = mixed.where(F.col("kinds") > hot_pieces)
     if hot.limit(1).count():
-        hot_all = mixed.where(F.col("kinds") > hot_pieces).select("anchor", "c1", "c2", "content")
-        windows = stored(hot_all.mapInArrow(
-            _window_hashes(length), "anchor long, c1 long, c2 long, at long, w1 long, w2 long"),
-            "windows")
-        again = (windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n"))
-                 .where("n > 1").select("w1", "w2"))
-        at = (salted_join(windows, again, ["w1", "w2"], F.col("c1"))
-              .join(hot.select("anchor", "c1", "c2"), ["anchor", "c1", "c2"], "left_semi")
-              .groupBy("anchor", "c1", "c2").agg(F.sort_array(F.collect_list("at")).alias("starts")))
-        parts.append(at.select("anchor", "c1", "c2", "starts",
-                               F.transform("starts", lambda x: x + length).alias("ends")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        runs = runs.unionByName(_hash_runs(hot, length))
+    once = mixed.where("n = 1").select("anchor", "c1", "c2")
+    return whole.unionByName(runs.join(once, ["anchor", "c1", "c2"], "left_semi"))
 
 
 def _remover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,19 +269,13 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = docs.select(F.col(id_col).alias("doc_id"), *key_pair(F.col(id_col), text),
                        text.alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
+    piece = ", ".join(f"{n}: long" for n, _ in PIECE)
     described = stored(rows.mapInArrow(
         _describer(length), f"doc_id {id_type}, k1 long, k2 long, n_bytes long, sha256 string, "
-                            "anchors array<long>"), "anchors")
-    places = described.select("k1", "k2", F.posexplode("anchors").alias("run", "anchor"))
-    twice = places.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
-    wanted = (salted_join(places, twice, ["anchor"], F.col("k1"))
-              .groupBy("k1", "k2").agg(F.collect_set("run").alias("runs")))
-    held = stored(rows.select("k1", "k2", "text").join(wanted.hint("shuffle_hash"), ["k1", "k2"]),
-                  "held")
-    pieces = stored(held.mapInArrow(
-        _cutter(length), "k1 long, k2 long, start long, anchor long, c1 long, c2 long, "
-                         "content binary"), "pieces")
-    runs = repeated_runs(pieces, length, shard_bytes, hot_pieces)
+                            f"pieces array<struct<{piece}>>"), "pieces")
+    texts = rows.select("k1", "k2", "text")
+    pieces = described.select("k1", "k2", F.inline("pieces"))
+    runs = repeated_runs(texts, pieces, length, shard_bytes, hot_pieces)
     spans = (salted_join(pieces.select("k1", "k2", "start", "anchor", "c1", "c2"), runs,
                          ["anchor", "c1", "c2"], F.col("k1"))
              .groupBy("k1", "k2").agg(
@@ -265,13 +283,13 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                      "starts", lambda x: x + F.col("start")))).alias("starts"),
                  F.flatten(F.collect_list(F.transform(
                      "ends", lambda x: x + F.col("start")))).alias("ends")))
-    cut = (held.select("k1", "k2", "text").join(spans.hint("shuffle_hash"), ["k1", "k2"])
+    cut = (texts.join(spans.hint("shuffle_hash"), ["k1", "k2"])
            .mapInArrow(_remover, "k1 long, k2 long, n_removed long, n_spans long, kept string, "
                                  "span_starts array<long>, span_ends array<long>")
            .dropDuplicates(["k1", "k2"]))
     none = F.array().cast("array<long>")
     zero = F.lit(0).cast("long")
-    return (described.drop("anchors").join(cut, ["k1", "k2"], "left")
+    return (described.drop("pieces").join(cut, ["k1", "k2"], "left")
             .select("doc_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"),
                     F.coalesce("n_spans", zero).alias("n_spans"),
                     F.coalesce("span_starts", none).alias("span_starts"),
