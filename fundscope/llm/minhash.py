@@ -9,11 +9,12 @@ T = k (ln k + 3) darts whatever its length. Each dart names one of k coordinates
 coordinate keeps its earliest dart: two documents agree on a coordinate with probability
 equal to their weighted Jaccard similarity.
 
-Documents are joined on bands of coordinates. Equal texts are one node first. Each bucket
-links its members to its least member; links are checked exactly on whole shingle sets and
-joined to components. Buckets that still hold several components are then compared
-completely between components (after exact length and triangle-inequality filters), so no
-candidate link between different texts is lost, while groups of copies cost no pairs.
+Documents are joined on bands of coordinates. Equal texts are one node first. The least
+member of a bucket is its leader. Each text is checked, exactly on whole shingle sets, with
+the leader it shares most bands with, then with its other leaders where links have not
+joined the two already. Texts of buckets that still hold several components are then
+compared completely between components, behind exact filters on sizes and parity bitmaps,
+so no candidate link between different texts is lost, while groups of copies cost no pairs.
 
 With weights ``set`` (used by the query and the pipeline) every shingle weighs 1 and the
 similarity is the Jaccard similarity of shingle sets; with ``count`` it is weighted by the
@@ -40,6 +41,7 @@ from fundscope.llm.components import components
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 40, 7           # a pair of similarity 0.8 shares a band with probability 0.9999
+PARITY_BITS = 2048
 TOGETHER = 128                # documents sketched by one set of array operations
 CACHE_ENTRIES = 200_000
 U = np.uint64
@@ -176,14 +178,29 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ba
                               f"doc_id {id_type}, k1 long, k2 long, mass long, bands array<long>")
 
 
-def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sets = [shingles(t) for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("node"),
-             pa.array([s.view(np.int64) for s, _ in sets], pa.list_(pa.int64())),
-             pa.array([c.astype(np.int32) for _, c in sets], pa.list_(pa.int32()))],
-            ["node", "shingles", "counts"])
+def parity_bits(elements: np.ndarray, counts: np.ndarray, weighting: str) -> np.ndarray:
+    """Parity of the number of elements that hash to each of ``PARITY_BITS`` bits.
+
+    By counts, every further copy of a shingle is an element of its own.
+    """
+    if weighting == "count":
+        nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        elements = mix(np.repeat(elements, counts) + nth.astype(np.uint64) * GOLD)
+    odd = np.bincount((elements % U(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _shingle_rows(weighting: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(t) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"),
+                 pa.array([s.view(np.int64) for s, _ in sets], pa.list_(pa.int64())),
+                 pa.array([c.astype(np.int32) for _, c in sets], pa.list_(pa.int32())),
+                 pa.array([parity_bits(s, c, weighting) for s, c in sets], pa.list_(pa.int64()))],
+                ["node", "shingles", "counts", "parity"])
+    return run
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, weighting: str) -> DataFrame:
@@ -226,10 +243,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = stored(salted_join(buckets, leaders, ["key"], F.col("node")), "buckets")
     # similar texts have similar masses: similarity s needs a ratio of s at least
     mass = nodes.select(F.col("node").alias("leader"), F.col("mass").alias("leader_mass"))
-    pairs = (shared.where("node <> leader").select("node", "leader", "mass").distinct())
-    pairs = (salted_join(pairs, mass, ["leader"], F.col("node"))
-             .where(F.least("mass", "leader_mass") >= similarity * F.greatest("mass", "leader_mass"))
-             .select(F.col("node").alias("a"), F.col("leader").alias("b")))
+    pairs = (shared.where("node <> leader").groupBy("node", "leader", "mass")
+             .agg(F.count(F.lit(1)).alias("bands")))
+    pairs = stored(salted_join(pairs, mass, ["leader"], F.col("node"))
+                   .where(F.least("mass", "leader_mass")
+                          >= similarity * F.greatest("mass", "leader_mass"))
+                   .select(F.col("node").alias("a"), F.col("leader").alias("b"), "bands"), "pairs")
     involved = shared.select("node").distinct()
     text = F.coalesce(F.col(text_col), F.lit(""))
     wanted = (nodes.join(involved, "node")
@@ -238,12 +257,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = stored(texts.join(wanted, (texts.k1 == wanted.k1) & (texts.k2 == wanted.k2)
                              & texts.least_id.eqNullSafe(wanted.least_id))
                   .select("node", "text")
-                  .mapInArrow(_shingle_rows, "node long, shingles array<long>, counts array<int>")
+                  .mapInArrow(_shingle_rows(weighting), "node long, shingles array<long>, "
+                              "counts array<int>, parity array<long>")
                   .dropDuplicates(["node"]), "shingles")
-    checked = stored(_similar(pairs, sets, weighting), "checked")
+    # first each text with the leader it shares most bands with, one pair a text
+    best = pairs.groupBy("a").agg(F.max_by("b", F.struct("bands", -F.col("b"))).alias("b"))
+    checked = stored(_similar(best, sets, weighting), "checked")
+    links = checked.where(F.col("similarity") >= similarity).select("a", "b")
+    comps = components(links)
+    # then with its other leaders, as far as they are not joined yet
+    others = pairs.select("a", "b").join(best, ["a", "b"], "left_anti")
+    checked = checked.unionByName(stored(
+        _similar(_apart(others, comps), sets, weighting), "checked"))
     links = checked.where(F.col("similarity") >= similarity).select("a", "b")
     comps = components(links)
-    rest = _unresolved(shared, comps, checked, similarity)
+    # then whatever shares a bucket with another component
+    rest = stored(_unresolved(shared, comps, sets, similarity), "rest")
     found = _similar(rest, sets, weighting).where(F.col("similarity") >= similarity)
     found = stored(found.select("a", "b"), "late-links")
     if found.limit(1).count():
@@ -260,35 +289,41 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                        F.hash("doc_id"))
 
 
-def _unresolved(shared: DataFrame, comps: DataFrame, checked: DataFrame,
+def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
+    """The pairs whose ends lie in different components."""
+    ca = comps.select(F.col("node").alias("a"), F.col("comp").alias("ca"))
+    cb = comps.select(F.col("node").alias("b"), F.col("comp").alias("cb"))
+    both = salted_join(pairs.join(ca, "a", "left"), cb, ["b"], F.col("a"), "left")
+    return both.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+
+
+def _unresolved(shared: DataFrame, comps: DataFrame, sets: DataFrame,
                 similarity: float) -> DataFrame:
-    """Pairs of different components that share a bucket and may be similar.
+    """Pairs between components that share a bucket and pass two exact filters.
 
-    With d = 1 - similarity a metric, a pair needs |d(a, leader) - d(b, leader)| <= 1 -
-    ``similarity``; where a distance was not measured the bound on masses alone holds.
+    The masses of similar sets have a ratio of ``similarity`` at least; and their symmetric
+    difference, at most (1 - s) / (1 + s) of the summed masses, is at least the number of
+    parity bits in which they differ.
     """
-    comp = comps.select("node", "comp")
-    rows = (shared.join(comp, "node", "left")
-            .withColumn("comp", F.coalesce("comp", "node")))
+    rows = (shared.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
     mixed = (rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
              .where("lo <> hi").select("key"))
-    rows = salted_join(rows, mixed, ["key"], F.col("node"))
-    near = checked.select(F.col("a").alias("node"), F.col("b").alias("leader"),
-                          (1 - F.col("similarity")).alias("away"))
-    rows = stored(rows.join(near, ["node", "leader"], "left")
-                  .withColumn("away", F.when(F.col("node") == F.col("leader"), 0.0)
-                              .otherwise(F.col("away"))), "mixed-buckets")
+    rows = stored(salted_join(rows, mixed, ["key"], F.col("node"))
+                  .join(sets.select("node", "parity"), "node"), "mixed-buckets")
     salts = 8
     left = rows.select("key", F.col("node").alias("a"), F.col("mass").alias("ma"),
-                       F.col("comp").alias("ca"), F.col("away").alias("da"),
-                       F.pmod(F.hash("node"), F.lit(salts)).alias("salt"), "leader")
-    right = rows.where("node <> leader").select(
-        "key", F.col("node").alias("b"), F.col("mass").alias("mb"), F.col("comp").alias("cb"),
-        F.col("away").alias("db"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    apart = F.coalesce(F.abs(F.col("da") - F.col("db")) <= 1 - similarity + 1e-9, F.lit(True))
-    return (left.where("a <> leader").join(right, ["key", "salt"])
-            .where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & apart
-                   & (F.least("ma", "mb") >= similarity * F.greatest("ma", "mb")))
+                       F.col("comp").alias("ca"), F.col("parity").alias("pa"),
+                       F.pmod(F.hash("node"), F.lit(salts)).alias("salt"))
+    right = rows.select("key", F.col("node").alias("b"), F.col("mass").alias("mb"),
+                        F.col("comp").alias("cb"), F.col("parity").alias("pb"),
+                        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+    differ = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+                         F.lit(0), lambda acc, n: acc + n)
+    most = (1 - similarity) / (1 + similarity) * (F.col("ma") + F.col("mb")) + 1e-6
+    return (left.join(right, ["key", "salt"])
+            .where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
+                   & (F.least("ma", "mb") >= similarity * F.greatest("ma", "mb"))
+                   & (differ <= most))
             .select("a", "b").distinct())
 
 
