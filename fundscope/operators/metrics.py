@@ -3,8 +3,8 @@
 Input: a DataFrame with a 0/1 ``label``, a 0/1 ``prediction`` and optionally a
 numeric ``score``. Confusion-based metrics come from one grouped count (at most
 k*k rows). Score-based metrics first reduce to one row per distinct score, then
-take running sums with a two-level prefix (over score buckets, then within
-each bucket), so no window ever runs over all scores in one task.
+take running sums with a two-level prefix (over score ranges, then within
+each range), so no window ever runs over all scores in one task.
 """
 
 from __future__ import annotations
@@ -12,8 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-PREFIX_BUCKETS = 64
-
+from fundscope.session import ensure_checkpoint_dir
 
 def auc_hard(df: DataFrame, label: str = "label", prediction: str = "prediction"
              ) -> DataFrame:
@@ -81,31 +80,29 @@ def _score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
                  F.sum(F.when(y == 1, 0).otherwise(1)).cast("long").alias("neg")))
 
 
-def _running(counts: DataFrame, cols: list[str], descending: bool,
-             buckets: int = PREFIX_BUCKETS) -> DataFrame:
-    """Add ``<c>_before``: sum of ``c`` over all rows strictly earlier in score order.
+def _running(counts: DataFrame, cols: list[str], descending: bool) -> DataFrame:
+    """Add ``<c>_before`` (sum of ``c`` over all rows strictly earlier in score order) and
+    ``<c>_all`` (sum over all rows).
 
-    Two levels. Bucket bounds are approximate quantiles of the distinct scores,
-    fetched once as literals (``buckets`` values), so the bucket of a score is a
-    pure function of the score: the same in every branch and on recompute.
-    Bucket totals (at most ``buckets`` rows, broadcast) are prefixed first,
-    then each bucket is prefixed on its own, so every window spans one bucket.
+    Two levels. The distinct scores are range-partitioned in order, as many ranges as the
+    session has shuffle partitions, and written to the checkpoint folder, so a score keeps
+    its range. Range totals (one row per partition, broadcast) are prefixed first, then
+    each range on its own.
     """
-    probs = [i / buckets for i in range(1, buckets)]
-    found = counts.agg(F.percentile_approx("score", probs, 10000).alias("q")).first()["q"]
-    bounds = sorted({float(x) for x in (found or []) if x is not None})
-    arr = F.array(*[F.lit(x) for x in bounds]) if bounds else F.array().cast("array<double>")
-    up = F.size(F.filter(arr, lambda x: x <= F.col("score")))   # non-decreasing in score
     order = F.col("score").desc() if descending else F.col("score").asc()
-    keyed = counts.withColumn("_b", (F.lit(len(bounds)) - up) if descending else up)
+    ensure_checkpoint_dir(counts.sparkSession)
+    keyed = (counts.repartitionByRange(order).withColumn("_b", F.spark_partition_id())
+             .checkpoint())
     totals = keyed.groupBy("_b").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
     wb = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    wa = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     totals = totals.select("_b", *[F.coalesce(F.sum(f"_t_{c}").over(wb), F.lit(0))
-                                   .alias(f"_bb_{c}") for c in cols])
+                                   .alias(f"_bb_{c}") for c in cols],
+                           *[F.sum(f"_t_{c}").over(wa).alias(f"{c}_all") for c in cols])
     wi = Window.partitionBy("_b").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     joined = keyed.join(F.broadcast(totals), "_b")
     return joined.select(
-        "score", *[c for c in counts.columns if c != "score"],
+        "score", *[c for c in counts.columns if c != "score"], *[f"{c}_all" for c in cols],
         *[(F.col(f"_bb_{c}") + F.coalesce(F.sum(c).over(wi), F.lit(0))).alias(f"{c}_before")
           for c in cols])
 
@@ -114,12 +111,13 @@ def auc_score(df: DataFrame, label: str = "label", score: str = "score") -> Data
     """V2: exact area under ROC on scores (Mann-Whitney U, ties count one half).
 
     Equals ``BinaryClassificationEvaluator(numBins=0)``; the evaluator's default
-    of 1000 bins is an approximation.
+    of 1000 bins is an approximation. Null if a class has no rows.
     """
     counts = _score_counts(df, label, score)
     run = _running(counts, ["neg"], descending=False)
-    u = F.sum(F.col("pos") * (F.col("neg_before") + 0.5 * F.col("neg")))
-    return run.agg((u / (F.sum("pos") * F.sum("neg"))).alias("auc_score"))
+    u = F.sum(F.col("pos").cast("double") * (F.col("neg_before") + 0.5 * F.col("neg")))
+    pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
+    return run.agg(F.try_divide(u, pairs).alias("auc_score"))
 
 
 def roc_points(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
@@ -128,12 +126,10 @@ def roc_points(df: DataFrame, label: str = "label", score: str = "score") -> Dat
     ``threshold, tp, fp, tpr, fpr, precision``.
     """
     counts = _score_counts(df, label, score)
-    totals = counts.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     run = _running(counts, ["pos", "neg"], descending=True)
     tp = F.col("pos_before") + F.col("pos")
     fp = F.col("neg_before") + F.col("neg")
-    P = totals.select("P").scalar()
-    N = totals.select("N").scalar()
+    P, N = F.col("pos_all"), F.col("neg_all")
     return run.select(
         F.col("score").alias("threshold"), tp.alias("tp"), fp.alias("fp"),
         F.when(P > 0, tp / P).alias("tpr"), F.when(N > 0, fp / N).alias("fpr"),

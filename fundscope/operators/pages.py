@@ -1,7 +1,7 @@
 """Page text and media flags from raw HTML.
 
-``page_features`` parses each page once inside ``mapInPandas`` (Arrow batches,
-parallel across partitions) with the standard-library HTML parser. Definition:
+``page_features`` parses each page once inside ``mapInArrow`` (parallel across
+partitions; results leave in slices of bounded size) with the standard-library HTML parser. Definition:
 
 - description: text of every ``<p>`` inside the container, joined with no
   separator; a ``<p>`` ends at ``</p>``, at the next ``<p>`` or at the end of
@@ -19,7 +19,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +30,7 @@ from fundscope.functions.columns import has_text
 REFERENCE_CONTAINER = ("div", "rte__content")
 IMAGE_TAG = "figure"
 VIDEO_TAG = "video"
+SLICE_CHARS = 16 << 20          # text handed on at once
 
 FEATURE_SCHEMA = ("page_id long, url string, description string, has_description int, "
                   "has_image int, has_video int")
@@ -106,24 +107,31 @@ def page_features(pages: DataFrame, container: str = "article", container_class:
     src = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"),
                        F.col(html_col).alias("html"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            parsed = [parse_page(h, container, container_class) for h in b["html"]]
-            desc = [p[0] for p in parsed]
-            yield pd.DataFrame({
-                "page_id": b["page_id"], "url": b["url"], "description": desc,
-                "has_description": [int(bool(d.strip())) for d in desc],
-                "has_image": [p[1] for p in parsed], "has_video": [p[2] for p in parsed],
-            })
-
-    return src.mapInPandas(run, FEATURE_SCHEMA)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["page_id", "url", "description", "has_description", "has_image", "has_video"]
+        for batch in batches:
+            start, size, rows = 0, 0, []
+            for i in range(batch.num_rows):
+                rows.append(parse_page(batch.column(2)[i].as_py(), container, container_class))
+                size += len(rows[-1][0])
+                if size >= SLICE_CHARS or i == batch.num_rows - 1:
+                    part = batch.slice(start, len(rows))
+                    flags = [[int(bool(r[0].strip())) for r in rows], [r[1] for r in rows],
+                             [r[2] for r in rows]]
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(0), part.column(1), pa.array([r[0] for r in rows], pa.string()),
+                         *[pa.array(f, pa.int32()) for f in flags]], names)
+                    start, size, rows = i + 1, 0, []
+
+    return src.mapInArrow(run, FEATURE_SCHEMA)
 
 
 def page_flags(pages: DataFrame, container: str = "article", id_col: str = "page_id",
                html_col: str = "html") -> DataFrame:
     """T1 (regex subset): container present, figure inside it, video anywhere."""
     html = F.col(html_col)
-    body = F.regexp_extract(html, rf"(?is)<{container}\b[^>]*>(.*)</{container}\s*>", 1)
+    # the first container only, as page_features: up to its first end tag (no nesting)
+    body = F.regexp_extract(html, rf"(?is)<{container}\b[^>]*>(.*?)(?:</{container}\s*>|$)", 1)
     return pages.select(
         F.col(id_col).alias("page_id"),
         html.rlike(rf"(?i)<{container}[\s>]").cast("int").alias("has_container"),

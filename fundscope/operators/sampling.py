@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fundscope.functions.columns import hash_percent, hash_unit
+from fundscope.session import ensure_checkpoint_dir
 
 # Fixed values of the reference's modelling run.
 SPLIT_SEED = 101
@@ -19,11 +20,7 @@ TRAIN_PERCENT = 75
 OVERSAMPLE = 2000
 PER_CLASS = 4700
 
-# Up to this many rows a sample is a plain top-k (TakeOrderedAndProject keeps
-# k rows per task and merges partitions*k rows in one task with a bounded
-# queue). Beyond it, hash-bucket histograms find the cut first.
-TOPK_MAX = 10_000
-CUT_BITS = (16, 16)   # 32-bit hash: high 16 bits, then low 16 bits
+BUCKET_BITS = 16          # high bits of the 32-bit hash: at most 65,536 counts per draw
 
 
 def keyed_split(df: DataFrame, key: str = "id", percent: int = TRAIN_PERCENT,
@@ -31,9 +28,9 @@ def keyed_split(df: DataFrame, key: str = "id", percent: int = TRAIN_PERCENT,
     """L3: (train, test) by ``hash_percent(seed, key) < percent``.
 
     Rows with the same key always fall on the same side, and the split is the
-    same for any partitioning (``randomSplit`` is not).
+    same for any partitioning (``randomSplit`` is not). Rows without a key train.
     """
-    side = hash_percent(seed, F.col(key)) < percent
+    side = F.coalesce(hash_percent(seed, F.col(key)) < percent, F.lit(True))
     return df.where(side), df.where(~side)
 
 
@@ -44,50 +41,38 @@ def _sample_key(seed, key: str, copy_col: str | None) -> Column:
     return hash_unit(seed, k)
 
 
+def _cut(counts: list[tuple[int, int]], n: int) -> tuple[int, int]:
+    """(bucket that holds the n-th row, rows wanted of it) from counts per hash bucket."""
+    below = 0
+    for bucket, count in sorted(counts):
+        if below + count >= n:
+            return bucket, n - below
+        below += count
+    return 1 << BUCKET_BITS, 0                      # fewer rows than asked: all of them
+
+
+def _bucket() -> Column:
+    return F.shiftright(F.col("_h"), 32 - BUCKET_BITS)
+
+
+def _below_cut(keyed: DataFrame, cut: tuple[int, int], order: list[Column]) -> DataFrame:
+    whole = keyed.where(_bucket() < cut[0])
+    edge = keyed.where(_bucket() == cut[0]).orderBy(*order).limit(cut[1])
+    return whole.unionByName(edge).drop("_h")
+
+
 def first_n_by_hash(df: DataFrame, n: int, seed, key: str = "id",
                     copy_col: str | None = None) -> DataFrame:
     """The ``n`` rows with the least keyed hash (ties by key, copy number).
 
-    Small ``n``: top-k. Large ``n``: count rows per hash bucket (at most
-    ``2**16`` rows back per level), keep the whole buckets below the cut and
-    descend into the cut bucket with the next 16 bits; only the rows of one
-    fine bucket (about N / 2**32 of the input) go through a final top-k. No
-    global sort, no task holding ``n`` rows.
+    Rows are counted per hash bucket (at most ``2**BUCKET_BITS`` counts come back);
+    whole buckets below the cut are kept, and only the rows of the cut bucket (about
+    N / 65,536 of the input) are ordered. No global sort, no task holding ``n`` rows.
     """
     order = [F.col("_h"), F.col(key)] + ([F.col(copy_col)] if copy_col else [])
-    keyed = df.withColumn("_h", _sample_key(seed, key, copy_col))
-    if n <= TOPK_MAX:
-        return keyed.orderBy(*order).limit(n).drop("_h")
-    kept: list[DataFrame] = []
-    scope = keyed              # rows still undecided
-    remaining = n
-    shift = 32
-    for bits in CUT_BITS:
-        shift -= bits
-        bucket = F.shiftright(F.col("_h"), shift) % (1 << bits)
-        hist = sorted((r["b"], r["n"]) for r in scope.groupBy(bucket.alias("b"))
-                      .agg(F.count(F.lit(1)).alias("n")).collect())
-        below, cut = 0, None
-        for b, cnt in hist:
-            if below + cnt >= remaining:
-                cut = b
-                break
-            below += cnt
-        if cut is None:                     # fewer rows than asked: keep them all
-            kept.append(scope)
-            remaining = 0
-            break
-        kept.append(scope.where(bucket < cut))
-        scope = scope.where(bucket == cut)
-        remaining -= below
-        if remaining <= TOPK_MAX:
-            break
-    if remaining > 0:
-        kept.append(scope.orderBy(*order).limit(remaining))
-    out = kept[0]
-    for part in kept[1:]:
-        out = out.unionByName(part)
-    return out.drop("_h")
+    keyed = df.withColumn("_h", F.coalesce(_sample_key(seed, key, copy_col), F.lit(0)))
+    counts = keyed.groupBy(_bucket().alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()
+    return _below_cut(keyed, _cut([(r.b, r.n) for r in counts], n), order)
 
 
 def sample_class(df: DataFrame, n: int, label: str = "label", value=1, seed=SPLIT_SEED,
@@ -104,11 +89,13 @@ def rebalance(train: DataFrame, label: str = "label", key: str = "id",
     ``copy_no`` gives repeated rows an identity (0 = original, 1 = extra copy),
     so the second stage can tell copies apart and stays repeatable.
     """
-    base = train.withColumn("copy_no", F.lit(0))
+    ensure_checkpoint_dir(train.sparkSession)
+    base = train.withColumn("copy_no", F.lit(0)).checkpoint()   # evaluated once for all draws
     extra = sample_class(base, oversample, label, positive, f"{seed}a", key, "copy_no")
-    training = base.unionByName(extra.withColumn("copy_no", F.lit(1)))
-    neg = sample_class(training, per_class, label, negative, f"{seed}b", key, "copy_no")
-    pos = sample_class(training, per_class, label, positive, f"{seed}c", key, "copy_no")
+    neg = sample_class(base, per_class, label, negative, f"{seed}b", key, "copy_no")
+    positives = base.where(F.col(label) == positive).unionByName(
+        extra.withColumn("copy_no", F.lit(1)))
+    pos = first_n_by_hash(positives, per_class, f"{seed}c", key, "copy_no")
     return neg.unionByName(pos)
 
 

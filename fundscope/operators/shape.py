@@ -3,7 +3,7 @@
 Duplicate handling is written so that a key holding a third of all rows never
 lands whole in one sort or one collected group: survivors are chosen by
 aggregates with map-side partial aggregation (min of a struct), and the
-per-key results are joined back, where AQE can split a skewed partition.
+per-key results are joined back with a salt, so a hot key spans several tasks.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fundscope.functions.columns import epoch_to_date, split_first
+from fundscope.operators.joins import salted_join
 from fundscope.sources.schemas import CAMPAIGN_COLUMNS
 
 
@@ -82,7 +83,7 @@ def later_duplicates(df: DataFrame, value: str, position: str) -> DataFrame:
 
     The value is reduced to a SHA-256 digest so the shuffle carries 32 bytes, not
     whole texts; the first position per digest comes from a partial aggregate,
-    then is joined back (no window sorts a hot value in one task). Nulls count
+    then is joined back with a salt (a hot value spans several tasks). Nulls count
     as one value (as pandas ``duplicated`` and a SQL window partition do); the
     null marker cannot collide with a 64-hex-digit digest.
     """
@@ -90,7 +91,7 @@ def later_duplicates(df: DataFrame, value: str, position: str) -> DataFrame:
     keyed = df.withColumn("_digest", digest)
     first = (keyed.groupBy("_digest")
              .agg(F.min(position).alias("first_" + position)))
-    return (keyed.join(first, "_digest")
+    return (salted_join(keyed, first, ["_digest"], F.col(position))
             .where(F.col(position) > F.col("first_" + position))
             .drop("_digest"))
 
@@ -104,13 +105,13 @@ def same_url_conflicts(df: DataFrame, url: str = "url", name: str = "name",
     its name is not null and its url carries two or more distinct names, i.e.
     the least and greatest name of the url differ. We return each such row once
     with one partner name (the url's least or greatest name, whichever differs).
-    One partial aggregate and one join: linear in the input.
+    One partial aggregate and one salted join: linear in the input.
     """
     valid = df.where(F.col(url).isNotNull() & F.col(name).isNotNull())
     per_url = (valid.groupBy(url)
                .agg(F.min(name).alias("_min_name"), F.max(name).alias("_max_name"))
                .where(F.col("_min_name") != F.col("_max_name")))
-    return (valid.select(*carry, name, url).join(per_url, url)
+    return (salted_join(valid.select(*carry, name, url), per_url, [url], F.hash(*carry))
             .select(*carry, name, url,
                     F.when(F.col(name) == F.col("_min_name"), F.col("_max_name"))
                      .otherwise(F.col("_min_name")).alias("other_name")))

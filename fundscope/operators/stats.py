@@ -62,11 +62,13 @@ def share_by(df: DataFrame, col: str, name: str = "share", digits: int | None =
              total_of: DataFrame | None = None) -> DataFrame:
     """Each group's share of all rows, largest first.
 
-    The total is a scalar subquery over ``total_of`` (default: ``df``), so no
-    one-row cross join and no separate driver job is needed.
+    The total is the sum of the group counts, or the row count of ``total_of``, as a
+    scalar subquery: no one-row cross join, no separate driver job, and the input of the
+    groups is grouped once (Spark reuses the exchange).
     """
-    total = total_rows(total_of if total_of is not None else df)
     counts = df.groupBy(col).agg(_n().alias(COUNT))
+    total = (counts.select(F.sum(COUNT)).scalar() if total_of is None
+             else total_rows(total_of))
     share = F.col(COUNT) / total
     if digits is not None:
         share = F.round(share, digits)
@@ -195,81 +197,61 @@ def histogram(df: DataFrame, col: str, bins: int = 10, lo: float | None = None,
 
 # ---------------------------------------------------------------- quantiles
 
-QUANTILE_BUCKETS = 4096      # rows moved to the driver per refinement step
-QUANTILE_COLLECT = 100_000   # a range this small is finished by sorting its values
+QUANTILE_BUCKETS = 4096      # counts moved to the driver per range and step
 
 
 def exact_order_stats(df: DataFrame, col: str, ranks: Sequence[int]) -> dict[int, float]:
     """Values at the given 0-based ranks of the ascending non-null values, exactly.
 
-    Distributed selection. Every pending rank sits in a value range; ranges of
-    one level are disjoint, so ONE pass tags each row with its range and counts
-    rows per (range, equal-width bucket): at most ``QUANTILE_BUCKETS`` rows per
-    range come back. Each rank then descends into its bucket. A range with one
-    distinct value is done; a range with few rows (``QUANTILE_COLLECT``) is
-    finished by fetching just those rows. One scan per level, for all ranks
-    together; the column is never collected or sorted in one task.
+    Distributed selection. Every pending rank sits in a value range; ranges of one level
+    are disjoint, so ONE pass tags each row with its range and counts rows per (range,
+    equal-width bucket): at most ``QUANTILE_BUCKETS`` rows per range come back. Each rank
+    then descends into its bucket, until the bucket holds one value. A range's least and
+    greatest value always fall into different buckets, so every step narrows it.
+    Infinities are counted apart; widths are taken in halves, so none overflows. The
+    column is never collected or sorted in one task.
     """
     src = (df.select(F.col(col).cast("double").alias("v"))
            .where(F.col("v").isNotNull() & ~F.isnan("v")))
-    first = src.agg(F.min("v").alias("lo"), F.max("v").alias("hi"),
-                    _n().alias("n")).first()
+    v, inf = F.col("v"), float("inf")
+    finite = (v > -inf) & (v < inf)
+    first = src.agg(F.min(F.when(finite, v)).alias("lo"), F.max(F.when(finite, v)).alias("hi"),
+                    F.count_if(v == -inf).alias("low"), F.count_if(finite).alias("n"),
+                    _n().alias("all")).first()
+    out = {r: -inf if r < first["low"] else inf for r in ranks if 0 <= r < first["all"]}
     # rank -> (lo, hi, rows strictly below lo); the rank's value lies in [lo, hi]
-    pending = {r: (first["lo"], first["hi"], 0) for r in ranks if 0 <= r < first["n"]}
-    out: dict[int, float] = {}
-    totals = {(first["lo"], first["hi"], 0): first["n"]} if pending else {}
-    v = F.col("v")
+    pending = {r: (first["lo"], first["hi"], first["low"]) for r in out
+               if first["low"] <= r < first["low"] + first["n"]}
     while pending:
+        out.update({r: s[0] for r, s in pending.items() if s[0] == s[1]})
+        pending = {r: s for r, s in pending.items() if s[0] != s[1]}
         states = sorted(set(pending.values()))
-        for st in [s for s in states if s[0] == s[1]]:
-            for r in [r for r, s in pending.items() if s == st]:
-                out[r] = st[0]
-                del pending[r]
-        states = [s for s in states if s[0] != s[1]]
         if not states:
             break
-        small = [s for s in states if totals.get(s, QUANTILE_COLLECT + 1) <= QUANTILE_COLLECT]
-        big = [s for s in states if s not in small]
-        if small:
-            tag = None
-            for i, (lo, hi, _) in enumerate(small):
-                cond = (v >= lo) & (v <= hi)
-                tag = F.when(cond, i) if tag is None else tag.when(cond, i)
-            vals: dict[int, list[float]] = {}
-            for row in src.select(tag.alias("t"), "v").where(F.col("t").isNotNull()).collect():
-                vals.setdefault(row["t"], []).append(row["v"])
-            for i, st in enumerate(small):
-                ordered = sorted(vals.get(i, []))
-                for r in [r for r, s in pending.items() if s == st]:
-                    out[r] = ordered[r - st[2]]
-                    del pending[r]
-        if not big:
-            continue
-        tag, bucket = None, None
-        for i, (lo, hi, _) in enumerate(big):
-            cond = (v >= lo) & (v <= hi)
-            b = F.least(F.floor((v - lo) / ((hi - lo) / QUANTILE_BUCKETS)),
-                        F.lit(QUANTILE_BUCKETS - 1)).cast("int")
-            tag = F.when(cond, i) if tag is None else tag.when(cond, i)
-            bucket = F.when(cond, b) if bucket is None else bucket.when(cond, b)
+        tag, bucket = F.when(F.lit(False), 0), F.when(F.lit(False), 0)
+        for i, (lo, hi, _) in enumerate(states):
+            inside = (v >= lo) & (v <= hi)
+            step = (hi / 2 - lo / 2) / QUANTILE_BUCKETS
+            place = (F.least(F.floor((v / 2 - lo / 2) / step), F.lit(QUANTILE_BUCKETS - 1))
+                     if step > 0 else F.when(v > lo, 1).otherwise(0))
+            # the ends keep apart even where rounding would join them
+            place = F.when(v == lo, 0).when(v == hi, QUANTILE_BUCKETS).otherwise(place)
+            tag = tag.when(inside, i)
+            bucket = bucket.when(inside, place.cast("int"))
         hist: dict[int, list] = {}
         for row in (src.select(tag.alias("t"), bucket.alias("b"), "v")
-                    .where(F.col("t").isNotNull())
-                    .groupBy("t", "b")
+                    .where(F.col("t").isNotNull()).groupBy("t", "b")
                     .agg(_n().alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
                     .collect()):
-            hist.setdefault(row["t"], []).append((row["b"], row["n"], row["lo"], row["hi"]))
-        totals = {}
-        for i, st in enumerate(big):
-            buckets = sorted(hist.get(i, []))
+            hist.setdefault(row["t"], []).append((row["lo"], row["hi"], row["n"]))
+        for i, st in enumerate(states):
             for r in [r for r, s in pending.items() if s == st]:
-                acc = st[2]
-                for _, cnt, blo, bhi in buckets:
-                    if r < acc + cnt:
-                        pending[r] = (blo, bhi, acc)
-                        totals[(blo, bhi, acc)] = cnt
+                below = st[2]
+                for lo, hi, count in sorted(hist[i]):
+                    if r < below + count:
+                        pending[r] = (lo, hi, below)
                         break
-                    acc += cnt
+                    below += count
     return out
 
 
@@ -281,25 +263,26 @@ def describe(df: DataFrame, col: str, digits: int | None = None) -> DataFrame:
     ``quantile_cont`` do.
     """
     x = F.col(col).cast("double")
-    base = df.where(x.isNotNull() & ~F.isnan(x))
-    moments = base.agg(_n().alias("count"), F.avg(x).alias("mean"),
-                       F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
-                       F.max(x).alias("max"))
-    n = moments.first()["count"]
-    cols = []
-    if n:
-        need = {}
+    base = df.select(x.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v")).persist()
+    try:                                              # the input is evaluated once
+        row = base.agg(_n().alias("count"), F.avg("v").alias("mean"),
+                       F.stddev_samp("v").alias("std"), F.min("v").alias("min"),
+                       F.max("v").alias("max")).first().asDict()
+        n, need = row["count"], {}
         for p in (0.25, 0.5, 0.75):
-            pos = (n - 1) * p
-            k = int(pos)
-            need[p] = (k, min(k + 1, n - 1), pos - k)
-        stats = exact_order_stats(base, col, sorted({v for t in need.values() for v in t[:2]}))
-        for p, (k, k1, frac) in need.items():
-            val = stats[k] + (stats[k1] - stats[k]) * frac
-            cols.append(F.lit(val).alias(f"q{int(p * 100)}"))
-    else:
-        cols = [F.lit(None).cast("double").alias(f"q{q}") for q in (25, 50, 75)]
-    out = moments.select("count", "mean", "std", "min", *cols, "max")
+            k = int((n - 1) * p) if n else 0
+            need[p] = (k, min(k + 1, n - 1), (n - 1) * p - k)
+        found = exact_order_stats(base, "v", sorted({v for t in need.values() for v in t[:2]}))
+    finally:
+        base.unpersist()
+    for p, (k, k1, frac) in need.items():
+        at = found.get(k)
+        row[f"q{int(p * 100)}"] = (None if at is None else at if not frac or at == found[k1]
+                                   else at + (found[k1] - at) * frac)
+    names = ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]
+    out = df.sparkSession.createDataFrame(
+        [tuple(row[c] for c in names)], ", ".join(
+            f"`{c}` {'long' if c == 'count' else 'double'}" for c in names))
     if digits is not None:
         out = out.select(*[F.round(c, digits).alias(c) if c != "count" else F.col(c)
                            for c in out.columns])

@@ -7,6 +7,8 @@ queries without an entry are checked by row count only.
 
 from __future__ import annotations
 
+import itertools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,12 +61,11 @@ select goalBin, count(*) as campaigns, cast(sum(label) as bigint) as successes,
        round(count(*) / (select count(*) from features), 6) as share
 from features group by goalBin"""))
 def success_by_goal_bin(spark, sf):
-    f = features(spark, sf)
-    total = stats.total_rows(f)
-    return (f.groupBy("goalBin")
-            .agg(F.count(F.lit(1)).alias("campaigns"), F.sum("label").alias("successes"),
-                 F.round(F.avg("label"), 6).alias("success_rate"))
-            .withColumn("share", F.round(F.col("campaigns") / total, 6))
+    groups = (features(spark, sf).groupBy("goalBin")
+              .agg(F.count(F.lit(1)).alias("campaigns"), F.sum("label").alias("successes"),
+                   F.round(F.avg("label"), 6).alias("success_rate")))
+    total = groups.select(F.sum("campaigns")).scalar()
+    return (groups.withColumn("share", F.round(F.col("campaigns") / total, 6))
             .orderBy("goalBin"))
 
 
@@ -211,15 +212,20 @@ union all
 select 'goalBin', cast(goalBin as varchar), count(*),
        round(count(*) / (select count(*) from features), 9) from features group by goalBin"""))
 def share_by(spark, sf):
-    f = features(spark, sf)
-    parts = [stats.share_by(f, c, digits=9).select(F.lit(c).alias("feature"),
-                                                    F.col(c).cast("string").alias("value"),
-                                                    "count", "share")
-             for c in ("countryUS", "label", "newsubCategory", "goalBin")]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    names = ("countryUS", "label", "newsubCategory", "goalBin")
+    long = features(spark, sf).select(F.inline(F.array(*[F.struct(
+        F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in names])))
+    counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("count"))
+    total = counts.where(F.col("feature") == "label").select(F.sum("count")).scalar()
+    return counts.withColumn("share", F.round(F.col("count") / total, 9))
+
+
+@register("share_raw_category", on_features("""
+select subCategory, count(*) as count,
+       round(count(*) / (select count(*) from campaigns), 9) as share
+from campaigns group by subCategory"""))
+def share_raw_category(spark, sf):
+    return stats.share_by(campaigns(spark, sf), "subCategory", digits=9)
 
 
 @register("class_balance", on_features(
@@ -365,10 +371,10 @@ def hist_range(spark, sf):
 
 @register("same_url_pairs", on_campaigns("""
 select c.id, c.launched_at, c.name, c.url,
-       case when c.name = u.mn then u.mx else u.mn end as other_name
-from campaigns c join u on c.url = u.url where c.name is not null""",
-    """u as (select url, min(name) as mn, max(name) as mx from campaigns
-        where url is not null and name is not null group by url having min(name) <> max(name))"""))
+       (select case when min(o.name) < c.name then min(o.name) else max(o.name) end
+        from campaigns o where o.url = c.url and o.name <> c.name) as other_name
+from campaigns c
+where exists (select 1 from campaigns o where o.url = c.url and o.name <> c.name)"""))
 def same_url_pairs(spark, sf):
     return shape.same_url_conflicts(campaigns(spark, sf))
 
@@ -566,12 +572,30 @@ _BATCH_CTE = """batched as (select doc_id, text, (doc_id // 500) * 500 as lo,
 @register("assemble_records", """
 with """ + _BATCH_CTE + """
 select 'project_description_' || lo || '_' || hi || '.txt' as file_name,
-       doc_id as idx, coalesce(text, '') as text
+       doc_id as idx, coalesce(text, '') as text, true as complete
 from batched""")
 def assemble_records(spark, sf):
     return records.assemble_records(_description_files(spark, sf))
 
 
+_FALSE_MARKERS_SQL = """coalesce(text, '') || ' see ' || (doc_id + 1) || '| and' || chr(10)
+    || (doc_id + 7) || '|end'"""
+
+
+@register("repaired_records", """
+with """ + _BATCH_CTE + """
+select 'project_description_' || lo || '_' || hi || '.txt' as file_name,
+       doc_id as idx, """ + _FALSE_MARKERS_SQL + """ as text, true as complete
+from batched""")
+def repaired_records(spark, sf):
+    """Every text holds the next record's marker inside a line and a later record's
+    marker at a line start; the true texts must come back."""
+    docs = tables.load(spark, sf, "documents")
+    text = F.concat(F.coalesce("text", F.lit("")), F.lit(" see "), (F.col("doc_id") + 1).cast(
+        "string"), F.lit("| and\n"), (F.col("doc_id") + 7).cast("string"), F.lit("|end"))
+    return records.assemble_records(records.description_files(docs.withColumn("text", text)))
+
+
 @register("missing_records", """
 with labelled as (select d.* from documents d semi join labels l on d.doc_id = l.doc_id),
 """ + _BATCH_CTE.replace("from documents", "from labelled") + """,
@@ -595,25 +619,66 @@ def record_counts(spark, sf):
     return records.record_counts(_description_files(spark, sf))
 
 
-@register("page_features")
+def _varied_pages(spark, sf) -> DataFrame:
+    """The pages with media and gaps by id: a figure in the container (id % 3 = 0), a video
+    before it (id % 5 = 0), paragraphs renamed so that no text is left (id % 7 = 0)."""
+    p = tables.load(spark, sf, "pages").select("page_id", "url", "html")
+    k = F.col("page_id")
+    html = F.when(k % 7 == 0, F.regexp_replace("html", r"(?i)<(/?)p([\s>])", "<$1q$2")).otherwise(
+        F.col("html"))
+    html = F.when(k % 3 == 0, F.regexp_replace(
+        html, r"(?i)(<article\b[^>]*>)", "$1<figure></figure>")).otherwise(html)
+    html = F.when(k % 5 == 0, F.concat(F.lit("<video></video>"), html)).otherwise(html)
+    return p.withColumn("html", html)
+
+
+_VARIED_CTE = r"""with named as (select page_id, url,
+        case when page_id % 7 = 0 then regexp_replace(html, '<(/?)p([\s>])', '<\1q\2', 'gi')
+             else html end as html from pages),
+    pictured as (select page_id, url,
+        case when page_id % 3 = 0 then regexp_replace(html, '(<article\b[^>]*>)',
+             '\1<figure></figure>', 'gi') else html end as html from named),
+    varied as (select page_id, url,
+        case when page_id % 5 = 0 then '<video></video>' || html else html end as html
+        from pictured),
+    flags as (select page_id, url,
+        case when regexp_matches(html, '(?i)<article[\s>]') then 1 else 0 end as has_container,
+        coalesce(regexp_extract(html, '(?is)<article\b[^>]*>(.*?)(?:</article\s*>|$)', 1), '')
+            as body,
+        case when regexp_matches(html, '(?i)<video[\s>]') then 1 else 0 end as has_video
+        from varied) """
+
+
+@register("page_features", _VARIED_CTE + r"""
+select page_id, url, case when regexp_matches(body, '(?i)<figure[\s>]') then 1 else 0 end as has_image,
+       has_video,
+       case when regexp_matches(body, '(?is)<p(?:\s[^>]*)?>(?:\s|</?(?:a|b|i|em|br|span|strong)\b[^>]*>)*[^<\s]') then 1 else 0 end
+           as has_description
+from flags""")
 def page_features(spark, sf):
+    """T1 on pages with and without text, figures and videos."""
+    return pages.page_features(_varied_pages(spark, sf)).drop("description")
+
+
+@register("page_texts")
+def page_texts(spark, sf):
+    """The descriptions themselves."""
     return pages.page_features(tables.load(spark, sf, "pages"))
 
 
-@register("pages_missing_text")
+@register("pages_missing_text", _VARIED_CTE + r"""
+select page_id, url from flags
+where not regexp_matches(body, '(?is)<p(?:\s[^>]*)?>(?:\s|</?(?:a|b|i|em|br|span|strong)\b[^>]*>)*[^<\s]')""")
 def pages_missing_text(spark, sf):
-    return pages.pages_missing_text(page_features(spark, sf))
+    """pages without text."""
+    return pages.pages_missing_text(pages.page_features(_varied_pages(spark, sf)))
 
 
-@register("page_flags", r"""
-select page_id,
-       case when regexp_matches(html, '(?i)<article[\s>]') then 1 else 0 end as has_container,
-       case when regexp_matches(coalesce(regexp_extract(html, '(?is)<article\b[^>]*>(.*)</article\s*>', 1), ''),
-                                '(?i)<figure[\s>]') then 1 else 0 end as has_image,
-       case when regexp_matches(html, '(?i)<video[\s>]') then 1 else 0 end as has_video
-from pages""")
+@register("page_flags", _VARIED_CTE + r"""
+select page_id, has_container, case when regexp_matches(body, '(?i)<figure[\s>]') then 1 else 0 end
+       as has_image, has_video from flags""")
 def page_flags(spark, sf):
-    return pages.page_flags(tables.load(spark, sf, "pages"))
+    return pages.page_flags(_varied_pages(spark, sf))
 
 
 _TOKENS_CTE = r"""toks as (select doc_id, unnest(regexp_extract_all(lower(text), '\p{L}+')) as term
@@ -714,74 +779,109 @@ def lr_plain(spark, sf):
     return _evaluate(models.predict(model, p.test))
 
 
-_SEARCHES: dict = {}
+@register("lr_optimum", """
+select true as intercept_at_optimum, true as slopes_at_optimum""")
+def lr_optimum(spark, sf):
+    """M8 checked: the gradient of the mean log loss vanishes at the fitted coefficients."""
+    p = _prepared(spark, sf)
+    model = models.fit_plain(p, "logistic", maxIter=200, tol=1e-10)
+    intercept, slopes = models.logistic_gradient(model, p.train)
+    return spark.createDataFrame([(abs(intercept) < 1e-4, slopes < 1e-4)],
+                                 "intercept_at_optimum boolean, slopes_at_optimum boolean")
 
 
-def _search(spark, sf, kind: str):
-    """One reference-grid search per (session, scale, model) in this process:
-    ``predict`` reuses the logistic search of ``lr_cv`` instead of repeating it."""
-    key = (id(spark), sf, kind)
-    if key not in _SEARCHES:
-        p = _prepared(spark, sf)
-        best, results = models.search(p, kind)
-        _SEARCHES[key] = (p, best, results)
-    return _SEARCHES[key]
+def _grid_sql(kind: str, grid: dict) -> str:
+    """Settings of a grid in the order of the search, as rows."""
+    names = list(grid)
+    rows = []
+    for i, values in enumerate(itertools.product(*grid.values())):
+        text = ", ".join(f"{n}={v}" for n, v in sorted(zip(names, values, strict=True)))
+        rows.append(f"('{kind}', {i}, '{text}', true, true)")
+    return ("select * from (values " + ", ".join(rows)
+            + ") t(model, setting, params, auc_in_range, best_is_largest)")
 
 
-def _cv(kind: str):
+def _search_query(kind: str, grid: dict):
     def run(spark, sf):
-        return _search(spark, sf, kind)[2]
+        """One row per setting; mean areas under ROC in [0, 1], the best one chosen."""
+        best, results = models.search(_prepared(spark, sf), kind, grid)
+        chosen = max(best.avgMetrics)
+        # the chosen model's own parameters are those of the setting with the largest mean
+        wanted = best.getEstimatorParamMaps()[best.avgMetrics.index(chosen)]
+        same = all(best.bestModel.getOrDefault(p.name) == v for p, v in wanted.items())
+        return results.select("model", "setting", "params",
+                              F.col("mean_auc").between(0, 1).alias("auc_in_range"),
+                              (F.lit(same) & (F.col("mean_auc") <= chosen)).alias("best_is_largest"))
     return run
 
 
-for _kind in ("logistic", "tree", "forest", "svm"):
-    register({"logistic": "lr_cv", "tree": "dt_cv", "forest": "rf_cv",
-              "svm": "svc_cv"}[_kind])(_cv(_kind))
+# The four reference grids, whole. Tree and forest are registered in slices by their first
+# parameter, so that one query stays a few minutes; the slices together are the grid.
+SEARCHES = {"lr_cv": ("logistic", models.REFERENCE_GRIDS["logistic"]),
+            "svc_cv": ("svm", models.REFERENCE_GRIDS["svm"])}
+for _kind, _short, _first in (("tree", "dt_cv", "impurity"), ("forest", "rf_cv", "numTrees")):
+    for _value in models.REFERENCE_GRIDS[_kind][_first]:
+        SEARCHES[f"{_short}_{_value}"] = (_kind, {**models.REFERENCE_GRIDS[_kind], _first: [_value]})
+for _name, (_kind, _grid) in SEARCHES.items():
+    register(_name, _grid_sql(_kind, _grid))(_search_query(_kind, _grid))
 
 
-@register("predict")
-def predict(spark, sf):
-    p, best, _ = _search(spark, sf, "logistic")
-    return models.predict(best.bestModel, p.test)
+# One setting of each reference grid, for the predictions.
+FIXED_SETTINGS = {"logistic": {"regParam": 0.01, "elasticNetParam": 0.0},
+                  "tree": {"impurity": "gini", "maxDepth": 5, "maxBins": 20, "minInstancesPerNode": 10},
+                  "forest": {"numTrees": 50, "maxDepth": 5, "seed": 101},
+                  "svm": {"regParam": 0.01}}
 
 
-# ------------------------------------------------------------ SQL text on a temp view (S3, L-1)
-
-def _sql_view(spark, sf) -> str:
-    """Register the campaign table as a session temp view (S3) and return its name."""
-    name = "campaigns_view"
-    campaigns(spark, sf).createOrReplaceTempView(name)
-    return name
-
+def _predict_query(kind: str):
+    def run(spark, sf):
+        """Predictions of both sides, training rows once each."""
+        p = _prepared(spark, sf)
+        model = models.fit_plain(p, kind, **FIXED_SETTINGS[kind])
+        _, test = sampling.keyed_split(features(spark, sf), "id", 75, 101)
+        sides = []
+        for side, rows, data in (("train", p.train.select("id", "label"), p.train),
+                                 ("test", test.select("id", "label"), p.test)):
+            pred = models.predict(model, data.dropDuplicates(["id"])).select(
+                "id", "prediction", "score")
+            # rows that the encoder skips (a null number) have no prediction
+            sides.append(rows.dropDuplicates(["id"]).join(pred, "id", "left").select(
+                F.lit(side).alias("side"), "id", F.col("label").cast("int").alias("label"),
+                F.col("prediction").isNotNull().alias("predicted"),
+                F.col("prediction").isin(0, 1).alias("valid"),
+                (F.col("prediction") == (F.col("score") > models.THRESHOLDS[kind]).cast("int"))
+                .alias("agrees")))
+        return sides[0].unionByName(sides[1])
+    return run
 
-@register("sql_category_share", on_campaigns("""
-select mainCategory, count(*) / (select count(*) from campaigns) as perc
-from campaigns group by mainCategory"""))
-def sql_category_share(spark, sf):
-    v = _sql_view(spark, sf)
-    return spark.sql(f"select mainCategory, count(*) / (select count(*) from {v}) as perc "
-                     f"from {v} group by mainCategory")
 
+_NUMBERS_GIVEN = " and ".join(f"{c} is not null" for c in models.NUMERIC)
+_PREDICT_SQL = on_features(f"""
+select 'train' as side, id, label, true as predicted, true as valid, true as agrees
+from (select distinct id, label from (select * from neg union all select * from pos) r
+      where {_NUMBERS_GIVEN}) a
+union all
+select 'test', id, label, {_NUMBERS_GIVEN}, case when {_NUMBERS_GIVEN} then true end,
+       case when {_NUMBERS_GIVEN} then true end
+from features where not {_hash_sql('101', 'id')} % 100 < 75""", *_REBALANCE_CTES)
+for _kind, _name in (("logistic", "lr_predict"), ("tree", "dt_predict"),
+                     ("forest", "rf_predict"), ("svm", "svc_predict")):
+    register(_name, _PREDICT_SQL)(_predict_query(_kind))
 
-@register("sql_monthly_mean", on_campaigns("""
-select month, round(avg(number), 2) as mean_count
-from (select cast(month(launched_at) as integer) as month, year(launched_at) as year,
-             count(*) as number from campaigns group by 1, 2) t
-group by month"""))
-def sql_monthly_mean(spark, sf):
-    v = _sql_view(spark, sf)
-    return spark.sql(f"""select month, round(mean(number), 2) as mean_count
-        from (select month(launched_at) as month, year(launched_at) as year,
-                     count(*) as number from {v} group by month, year) as t1
-        group by month order by month""")
 
+# ------------------------------------------------------------ SQL text on a temp view (S3, L-1)
 
-@register("sql_name_repeats", on_campaigns("""
-select name, count(*) as number from campaigns group by name"""))
-def sql_name_repeats(spark, sf):
-    v = _sql_view(spark, sf)
-    return spark.sql(f"select name, count(*) as number from {v} group by name "
-                     f"order by number desc")
+@register("sql_category_goals", on_campaigns("""
+select mainCategory, state, count(*) as campaigns, round(max(goal), 2) as largest_goal
+from campaigns where state in ('successful', 'failed') group by mainCategory, state"""))
+def sql_category_goals(spark, sf):
+    """S3: the campaign table as a session temp view, queried with SQL text."""
+    campaigns(spark, sf).createOrReplaceTempView("fundscope_campaigns")
+    return spark.sql("""
+        SELECT mainCategory, state, count(1) AS campaigns, round(max(goal), 2) AS largest_goal
+        FROM fundscope_campaigns
+        WHERE state = 'successful' OR state = 'failed'
+        GROUP BY ALL""")
 
 
 @register("standardize_embeddings", """
@@ -913,11 +1013,71 @@ def blurb_value_counts(spark, sf):
 
 def _export_dir(spark, kind: str) -> str:
     """A fresh folder under the reliable checkpoint folder (shared on a cluster)."""
-    import uuid
     from fundscope.session import ensure_checkpoint_dir
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/exports/{kind}-{uuid.uuid4().hex}"
 
 
+@register("table_round_trip", on_campaigns("select id, name, url from campaigns"))
+def table_round_trip(spark, sf):
+    """Campaigns saved as a managed table and read from the catalog."""
+    from fundscope.sources import files
+    name = f"fundscope_export_{uuid.uuid4().hex}"
+    files.save_table(campaigns(spark, sf).select("id", "name", "url"), name)
+    return spark.table(name)
+
+
+@register("slice_round_trip", on_campaigns("""
+select id, name, state, goal, strftime(launched_at, '%Y-%m-%d') as launched_at
+from campaigns where mainCategory = 'machinery'"""))
+def slice_round_trip(spark, sf):
+    """S10 then S6: one category as line JSON with dates as text, read with its schema."""
+    from fundscope.sources import files
+    path = _export_dir(spark, "slice-json")
+    chosen = campaigns(spark, sf).where(F.col("mainCategory") == CATEGORY)
+    files.write_json(chosen.withColumn("launched_at", F.date_format("launched_at", "yyyy-MM-dd")),
+                     path)
+    return files.read_line_json(spark, path, "id long, name string, state string, goal double, "
+                                             "launched_at string")
+
+
+@register("text_file_round_trip", """
+with """ + _BATCH_CTE + """
+select doc_id as idx, coalesce(text, '') as text, true as complete from batched""")
+def text_file_round_trip(spark, sf):
+    """Description files written as whole text files, read back one row a file."""
+    from fundscope.sources import files
+    path = _export_dir(spark, "description-files")
+    made = _description_files(spark, sf).select("value", F.col("file_name").alias("file"))
+    made.repartition("file").write.partitionBy("file").text(path)
+    back = files.read_text_files(spark, f"{path}/*", name_from=r"file=([^/]*)/")
+    # the text sink ends every row with a newline
+    back = back.withColumn("value", F.regexp_replace("value", r"\n\z", ""))
+    return records.assemble_records(back).select("idx", "text", "complete")
+
+
+@register("columns_like", on_campaigns("""
+select created_at, launched_at from campaigns"""))
+def columns_like(spark, sf):
+    """The columns whose name holds ``ed_at``."""
+    c = campaigns(spark, sf)
+    return c.select(*shape.columns_like(c, "ed_at"))
+
+
+@register("merge_scraped", on_campaigns("""
+select 'project_scraped_' || lo || '_' || (lo + 500) || '.csv' as file_name, id as row_idx, name
+from (select *, (id // 500) * 500 as lo from campaigns)"""))
+def merge_scraped(spark, sf):
+    """T5: every batch file also holds rows of the next range; only its own count."""
+    c = campaigns(spark, sf).select(F.col("id").alias("row_idx"), "name")
+    lo = F.floor(F.col("row_idx") / 500) * 500
+    batches = [c.withColumn("lo", lo), c.withColumn("lo", lo - 500)]
+    rows = batches[0].unionByName(batches[1]).select(
+        F.concat(F.lit("project_scraped_"), F.col("lo").cast("string"), F.lit("_"),
+                 (F.col("lo") + 500).cast("string"), F.lit(".csv")).alias("file_name"),
+        "row_idx", "name")
+    return records.merge_scraped(rows)
+
+
 @register("json_round_trip", ORACLE["flatten_struct"])
 def json_round_trip(spark, sf):
     """S5 then S1 + S2: raw crawl records written as line JSON, read back with the
@@ -943,7 +1103,8 @@ select c.id as row_idx, c.id, c.name, c.blurb, c.goal, strftime(c.created_at, '%
        c.staff_pick, d.text as Description,
        case when c.staff_pick then 1 else 0 end as Image,
        case when c.country = 'NATION_0' then 1 else 0 end as Video
-from campaigns c left join documents d on d.doc_id = c.id % 200"""))
+from campaigns c cross join (select count(*) as n from documents) nd
+     left join documents d on d.doc_id = c.id % nd.n"""))
 def csv_round_trip(spark, sf):
     """S9 then S8: a scraped-batch table (campaign columns, dates as text, whole
     multi-line document texts as ``Description``) written as CSV with a header,
@@ -951,10 +1112,10 @@ def csv_round_trip(spark, sf):
     from fundscope.sources import files
     from fundscope.sources.schemas import SCRAPED
     c = campaigns(spark, sf)
-    docs = F.broadcast(tables.load(spark, sf, "documents")       # doc_id key < 200: bounded
-                       .where((F.col("doc_id") >= 0) & (F.col("doc_id") < 200))
-                       .select("doc_id", F.col("text").alias("Description")))
-    scraped = (c.join(docs, F.col("doc_id") == F.col("id") % 200, "left")
+    docs = tables.load(spark, sf, "documents")
+    n_docs = docs.select(F.count(F.lit(1))).scalar()
+    docs = docs.select("doc_id", F.col("text").alias("Description"))
+    scraped = (c.join(docs, F.col("doc_id") == F.try_mod(F.col("id"), n_docs), "left")
                .withColumn("row_idx", F.col("id"))
                .withColumn("converted_pledged_amount", F.lit(None).cast("long"))
                .withColumn("Image", C.bool_to_int("staff_pick"))

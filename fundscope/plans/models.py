@@ -42,7 +42,6 @@ CATEGORICAL = ("staff_pick", "countryUS", "subCategoryIndex", "monthdead", "mont
                "goalBin")
 NUMERIC = ("blurblen", "namelen", "campaignlen", "preparelen")
 REFERENCE_FOLDS = 10
-REFERENCE_PARALLELISM = 4
 
 # Reference search grids (as data). Keys are estimator param names.
 REFERENCE_GRIDS: dict[str, dict[str, list]] = {
@@ -155,12 +154,13 @@ def build_grid(estimator, grid: dict[str, list]):
 
 
 def search(prepared: Prepared, kind: str, grid: dict[str, list] | None = None,
-           folds: int = REFERENCE_FOLDS, parallelism: int = REFERENCE_PARALLELISM,
-           seed: int = 101):
+           folds: int = REFERENCE_FOLDS, parallelism: int | None = None, seed: int = 101):
     """Cross-validated grid search; returns (best model, results DataFrame).
 
-    Results: one row per setting with its mean area under ROC on scores.
+    Results: one row per setting with its mean area under ROC on scores. As many fits run
+    at once as the session has cores, unless ``parallelism`` says otherwise.
     """
+    parallelism = parallelism or prepared.train.sparkSession.sparkContext.defaultParallelism
     est = ESTIMATORS[kind](featuresCol="features", labelCol="y")
     if hasattr(est, "setSeed"):
         est = est.setSeed(seed)
@@ -169,8 +169,11 @@ def search(prepared: Prepared, kind: str, grid: dict[str, list] | None = None,
                                               metricName="areaUnderROC", numBins=0)
     cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=evaluator,
                         numFolds=folds, parallelism=parallelism, foldCol="fold", seed=seed)
-    train = prepared.train.withColumn("fold", F.col("fold") % folds)
-    cv_model = cv.fit(train)
+    train = prepared.train.withColumn("fold", F.col("fold") % folds).persist()
+    try:
+        cv_model = cv.fit(train)
+    finally:
+        train.unpersist()
     spark = prepared.train.sparkSession
     rows = [(kind, i, ", ".join(f"{p.name}={v}" for p, v in sorted(m.items(),
                                                                    key=lambda kv: kv[0].name)),
@@ -187,6 +190,21 @@ def fit_plain(prepared: Prepared, kind: str = "logistic", **params):
     return est.fit(prepared.train)
 
 
+# Where a prediction turns to 1: positive probability, or margin.
+THRESHOLDS = {"logistic": 0.5, "tree": 0.5, "forest": 0.5, "svm": 0.0}
+
+
+def logistic_gradient(model, data: DataFrame) -> tuple[float, float]:
+    """Mean gradient of the log loss at the fitted coefficients: (intercept, largest slope)."""
+    from pyspark.ml.functions import vector_to_array
+    p = vector_to_array("probability")[1]
+    rows = model.transform(data).select((p - F.col("y")).alias("e"),
+                                        vector_to_array("features").alias("x"))
+    slots = rows.select("e", F.posexplode("x").alias("slot", "v"))
+    slopes = slots.groupBy("slot").agg(F.abs(F.avg(F.col("e") * F.col("v"))).alias("g"))
+    return rows.agg(F.avg("e")).first()[0], slopes.agg(F.max("g")).first()[0]
+
+
 def predict(model, data: DataFrame, key: str = "id") -> DataFrame:
     """``id, label, prediction, score`` (score = margin or positive probability)."""
     out = model.transform(data)

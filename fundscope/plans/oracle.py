@@ -9,7 +9,7 @@ CAMPAIGNS = """
 campaigns as (
 select o_orderkey as id,
        concat(c_name, ' #', cast(o_orderkey % 5 as varchar(20))) as name,
-       case when o_orderkey % 50 = 0 then null else substr(d.text, 1, 135) end as blurb,
+       case when o_orderkey % 50 = 0 then null else d.text end as blurb,
        o_totalprice as goal,
        case when o_orderstatus = 'F' then 'successful' when o_orderstatus = 'P' then 'failed'
             when o_orderkey % 3 = 0 then 'live' when o_orderkey % 3 = 1 then 'canceled'
@@ -24,7 +24,8 @@ select o_orderkey as id,
        c_custkey as creatorID, o_custkey % 400 as backers_count, o_totalprice as usd_pledged
 from orders join customer on o_custkey = c_custkey
             join nation on c_nationkey = n_nationkey
-            left join documents d on d.doc_id = o_orderkey % 200
+            cross join (select count(*) as n from documents) nd
+            left join documents d on d.doc_id = o_orderkey % nd.n
 )"""
 
 FEATURES = """

@@ -51,8 +51,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting one only where none is set.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    Only when it is unset (local tests) do we fall back to a fresh local folder.
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is; if it
+    is unset there, this raises, since executors would write to their own disks. Only a
+    local master (tests) falls back to a fresh local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -61,6 +62,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="fundscope-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

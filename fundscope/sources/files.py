@@ -45,11 +45,16 @@ def save_table(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").saveAsTable(name)
 
 
-def read_text_files(spark: SparkSession, path: str) -> DataFrame:
-    """Whole text files -> ``(file_name, value)``, one row per file."""
+def read_text_files(spark: SparkSession, path: str, name_from: str | None = None) -> DataFrame:
+    """Whole text files -> ``(file_name, value)``, one row per file.
+
+    ``name_from`` takes the name from the file's path by a pattern with one group.
+    """
+    name = F.col("_metadata.file_name")
+    if name_from is not None:
+        name = F.regexp_extract(F.col("_metadata.file_path"), name_from, 1)
     # text() resets options it names itself, so wholetext must be its keyword.
-    return (spark.read.text(path, wholetext=True)
-            .select(F.col("_metadata.file_name").alias("file_name"), "value"))
+    return spark.read.text(path, wholetext=True).select(name.alias("file_name"), "value")
 
 
 def read_scraped_csv(spark: SparkSession, path: str,

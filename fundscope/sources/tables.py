@@ -2,7 +2,8 @@
 
 The reference's crawl is not available, so a campaign table is derived from the
 TPC-H-like tables (orders, customer, nation, documents). The derivation is one
-declarative plan: two equi-joins and a bounded lookup, all row-local otherwise.
+declarative plan of equi-joins, all row-local otherwise. A campaign's blurb is the
+whole text of document ``id % (number of documents)``.
 """
 
 from __future__ import annotations
@@ -15,8 +16,6 @@ TABLE_NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "li
                "conversations")
 
 # Fixed values of the stand-in (must match the oracle SQL).
-BLURB_DOCS = 200          # blurbs come from documents 0..199
-BLURB_CHARS = 135
 NULL_BLURB_EVERY = 50
 URL_BASE = "https://c.example/"
 HOME_COUNTRY = "NATION_0"
@@ -37,22 +36,17 @@ def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderpriority")
     customer = load(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    # nation has 25 rows by definition of the schema: a safe broadcast.
-    nation = F.broadcast(load(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
-    # doc_id is a key in 0..n-1, so this side holds at most BLURB_DOCS rows of at
-    # most BLURB_CHARS characters: a proven bound, so it is broadcast.
-    docs = F.broadcast(
-        load(spark, sf_dir, "documents")
-        .where((F.col("doc_id") >= 0) & (F.col("doc_id") < BLURB_DOCS))
-        .select(F.col("doc_id").alias("d_doc_id"),
-                F.substring("text", 1, BLURB_CHARS).alias("d_text")))
+    nation = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    documents = load(spark, sf_dir, "documents")
+    n_docs = documents.select(F.count(F.lit(1))).scalar()
+    docs = documents.select(F.col("doc_id").alias("d_doc_id"), F.col("text").alias("d_text"))
 
     key = F.col("o_orderkey")
     created = F.col("o_orderdate").cast("date")
     joined = (orders
               .join(customer, F.col("o_custkey") == F.col("c_custkey"))
               .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-              .join(docs, F.col("d_doc_id") == key % BLURB_DOCS, "left"))
+              .join(docs, F.col("d_doc_id") == F.try_mod(key, n_docs), "left"))
     return joined.select(
         key.alias("id"),
         F.concat(F.col("c_name"), F.lit(" #"), (key % 5).cast("string")).alias("name"),

@@ -63,6 +63,19 @@ def test_search_small_grid(spark):
     assert set(pred.columns) == {"id", "label", "prediction", "score"}
 
 
+@pytest.mark.parametrize("kind, grid", [("logistic", {"regParam": [0.01, 1.0]}),
+                                         ("tree", {"maxDepth": [2]}),
+                                         ("forest", {"numTrees": [5], "maxDepth": [3]}),
+                                         ("svm", {"regParam": [0.01, 0.1]})])
+def test_every_kind_searches_and_predicts(spark, kind, grid):
+    p = models.prepare(_planted(spark, 600), oversample=50, per_class=150, folds=3)
+    best, res = models.search(p, kind, grid, folds=3)
+    assert all(0.5 < r.mean_auc <= 1 for r in res.collect())
+    for data in (p.train, p.test):
+        for r in models.predict(best.bestModel, data).collect():
+            assert r.prediction == int(r.score > models.THRESHOLDS[kind])
+
+
 def test_sql_metrics_agree_with_mllib(spark):
     from pyspark.mllib.evaluation import MulticlassMetrics
     f = _planted(spark)

@@ -8,7 +8,9 @@ import __spark_entry__ as entry
 from fundscope.plans import catalog
 
 # These run jobs while being planned (model fits, exact quantiles).
-EAGER = {"lr_cv", "dt_cv", "rf_cv", "svc_cv", "predict", "lr_plain", "model_matrix",
+EAGER = set(catalog.SEARCHES) | {"lr_plain", "model_matrix", "lr_optimum", "lr_predict",
+         "dt_predict", "rf_predict", "svc_predict", "text_file_round_trip",
+         "table_round_trip", "slice_round_trip", "rebalance", "class_balance_rebalanced", "sample_class",
          "vector_index", "describe_goal", "string_index", "standardize",
          "standardize_embeddings", "auc_score", "roc_points", "encoded_features",
          "indexed_features", "json_round_trip", "delimited_round_trip",

@@ -58,3 +58,30 @@ def test_share_and_auc_hot_value(spark):
     ser = pd.Series(list(pos) + list(neg)).rank()
     u = ser[:len(pos)].sum() - len(pos) * (len(pos) + 1) / 2
     assert abs(metrics.auc_score(df).first()[0] - u / (len(pos) * len(neg))) < 1e-12
+
+
+def _largest_share(spark, df, hot):
+    """Largest share of the hot rows that one task of the last stage holds."""
+    rows = df.where(hot).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    return max(r["count"] for r in rows) / sum(r["count"] for r in rows)
+
+
+def test_no_task_holds_a_hot_key_whole(spark):
+    from fundscope.operators import keywords
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.shuffle.partitions": "32"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        df = _skewed(spark).repartition(8)
+        urls = shape.same_url_conflicts(df, carry=("pos",))
+        assert _largest_share(spark, urls, "url = 'hot'") < 0.5
+        later = shape.later_duplicates(df.select("pos", "text"), "text", "pos")
+        assert _largest_share(spark, later, "text = 'same'") < 0.5
+        docs = spark.range(400).selectExpr("id as doc_id", "concat('every w', id) as text")
+        per_doc = keywords.top_keywords(docs, k=2)
+        assert "join_salt" in per_doc._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

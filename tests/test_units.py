@@ -123,16 +123,22 @@ def test_rebalance_equal_and_repeatable(spark):
     assert key(r1) == key(r2)
 
 
-def test_first_n_large_path_matches_topk(spark, monkeypatch):
+def test_first_n_matches_a_plain_sort(spark, monkeypatch):
+    from fundscope.functions.columns import hash_unit
     df = spark.range(5000).select("id")
-    small = sorted(r.id for r in sampling.first_n_by_hash(df, 1234, 9, "id").collect())
-    monkeypatch.setattr(sampling, "TOPK_MAX", 10)
-    big = sorted(r.id for r in sampling.first_n_by_hash(df, 1234, 9, "id").collect())
-    assert small == big and len(big) == 1234
-    monkeypatch.setattr(sampling, "TOPK_MAX", 0)     # descend both hash levels
-    deep = sorted(r.id for r in sampling.first_n_by_hash(df, 1234, 9, "id").collect())
-    assert deep == small
-    assert sampling.first_n_by_hash(df, 9000, 9, "id").count() == 5000
+    ordered = [r.id for r in df.orderBy(hash_unit(9, F.col("id")), "id").collect()]
+    for bits in (16, 1, 0):
+        monkeypatch.setattr(sampling, "BUCKET_BITS", bits)
+        for n in (0, 1, 1234, 5000, 9000):
+            got = sorted(r.id for r in sampling.first_n_by_hash(df, n, 9, "id").collect())
+            assert got == sorted(ordered[:n]), (bits, n)
+
+
+def test_rows_without_a_key_train(spark):
+    df = spark.createDataFrame([(1,), (None,), (2,)], "id long")
+    train, test = sampling.keyed_split(df)
+    assert train.count() + test.count() == 3
+    assert train.where("id is null").count() == 1
 
 
 def test_histogram_max_on_last_edge_and_constant(spark):
@@ -152,7 +158,6 @@ def test_exact_quantiles_match_numpy(spark, monkeypatch):
     rng = np.random.default_rng(7)
     vals = np.concatenate([rng.exponential(size=3000), np.full(1500, 2.5)])
     df = spark.createDataFrame([(float(v),) for v in vals], "x double")
-    monkeypatch.setattr(stats, "QUANTILE_COLLECT", 50)   # force the bucket search
     monkeypatch.setattr(stats, "QUANTILE_BUCKETS", 16)
     d = stats.describe(df, "x").first()
     for q, name in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75")):
@@ -160,6 +165,18 @@ def test_exact_quantiles_match_numpy(spark, monkeypatch):
     assert d["count"] == len(vals)
 
 
+@pytest.mark.parametrize("extra", [[], [float("inf")] * 3, [float("-inf"), float("inf")],
+                                   [-1.7e308, 1.7e308], [5e-324, 1e-323, 0.0]])
+def test_order_statistics_end_on_wide_and_infinite_ranges(spark, extra):
+    vals = [float(x) for x in np.random.default_rng(2).normal(size=300)] + extra
+    df = spark.createDataFrame([(v,) for v in vals] + [(None,), (float("nan"),)], "x double")
+    ranks = [0, 1, 75, 150, len(vals) - 2, len(vals) - 1]
+    got = stats.exact_order_stats(df, "x", ranks)
+    assert [got[r] for r in ranks] == [sorted(vals)[r] for r in ranks]
+    assert stats.exact_order_stats(df.where("x is null"), "x", [0]) == {}
+    assert stats.describe(df, "x").first()["count"] == len(vals)
+
+
 def test_metrics_edge_cases(spark):
     one_class = spark.createDataFrame([(1, 1), (1, 0)], "label int, prediction int")
     prf = {r.label: (r.precision, r.recall, r.f1)
@@ -170,7 +187,7 @@ def test_metrics_edge_cases(spark):
     assert conf == {1: (1, 1)}
 
 
-def test_auc_score_matches_brute_force(spark, monkeypatch):
+def test_auc_score_matches_brute_force(spark):
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
     rng = np.random.default_rng(3)
     rows = [(int(y), float(np.round(rng.normal() + y, 1))) for y in rng.integers(0, 2, 800)]
@@ -179,8 +196,11 @@ def test_auc_score_matches_brute_force(spark, monkeypatch):
     neg = [s for y, s in rows if y == 0]
     brute = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
     assert metrics.auc_score(df).first()[0] == pytest.approx(brute, abs=1e-12)
-    monkeypatch.setattr(metrics, "PREFIX_BUCKETS", 3)   # several score buckets
-    assert metrics.auc_score(df).first()[0] == pytest.approx(brute, abs=1e-12)
+    for parts in ("1", "3", "64"):                     # one, several and empty score ranges
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        assert metrics.auc_score(df).first()[0] == pytest.approx(brute, abs=1e-12)
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     # MLlib agrees once -0.0 is written as 0.0 (its RDD path keys doubles by Java
     # equality, which tells -0.0 from 0.0; SQL grouping does not).
     from pyspark.ml.functions import array_to_vector
@@ -197,6 +217,15 @@ def test_auc_score_matches_brute_force(spark, monkeypatch):
     assert ours_hard == pytest.approx(ml_hard, abs=1e-12)
 
 
+def test_auc_of_one_class_and_of_huge_counts(spark, monkeypatch):
+    one = spark.createDataFrame([(1, 0.5), (1, 0.7)], "label int, score double")
+    assert metrics.auc_score(one).first()[0] is None
+    huge = spark.createDataFrame([(0.1, 5 * 10**9, 0), (0.9, 0, 5 * 10**9)],
+                                 "score double, neg long, pos long")
+    monkeypatch.setattr(metrics, "_score_counts", lambda *_: huge)
+    assert metrics.auc_score(one).first()[0] == 1.0
+
+
 def test_fixture_auc_values(spark):
     import __spark_entry__ as entry
     q = entry.queries()
@@ -229,10 +258,39 @@ def test_assemble_prefers_line_start_and_reports_gap(spark):
     assert got[("project_description_0_3.txt", 2)] == "ends in 7"
     gaps = [(r.file_name, r.idx) for r in records.missing_records(f).collect()]
     assert gaps == [("project_description_10_13.txt", 11)]
+    whole = {r.file_name: r.complete for r in records.assemble_records(f).collect()}
+    assert whole == {"project_description_0_3.txt": True, "project_description_10_13.txt": False}
     with pytest.raises(ValueError):
         records.assert_complete(f)
 
 
+def test_parsing_is_linear_in_the_markers():
+    import time
+
+    def seconds(chunks):
+        text = "0|" + "x 7| " * chunks + "".join(f"\n{i}|r" for i in range(1, 500))
+        best = 1e9
+        for _ in range(3):
+            began = time.perf_counter()
+            assert len(records.split_records(text, 0, 500)) == 500
+            best = min(best, time.perf_counter() - began)
+        return best
+
+    assert seconds(205_000) < 4 * 4 * seconds(55_000) / 3.7
+
+
+def test_two_containers_on_a_page(spark):
+    from fundscope.operators import pages
+    html = ["<article><p>a</p></article><article><figure></figure><p>b</p></article>",
+            "<article><figure></figure></article><video></video><article></article>",
+            "<article><p>open <figure></figure>"]
+    df = spark.createDataFrame(list(enumerate(html)), "page_id long, html string").selectExpr(
+        "page_id", "'u' as url", "html")
+    parsed = {r.page_id: (r.has_image, r.has_video) for r in pages.page_features(df).collect()}
+    flags = {r.page_id: (r.has_image, r.has_video) for r in pages.page_flags(df).collect()}
+    assert parsed == flags == {0: (0, 0), 1: (1, 1), 2: (1, 0)}
+
+
 def test_assemble_round_trip(spark, sf):
     from fundscope.sources import tables
     docs = tables.load(spark, sf, "documents").select("doc_id", "text")
