@@ -7,7 +7,7 @@ documents first: a window whose anchor occurs once is unique and goes no further
 of one anchor in a row form a piece, known by a 128-bit hash; equal pieces are summed first, so
 a group of copies costs one row a piece and no text. Only where an anchor has several
 different contents, one of them occurring once, are the contents fetched (one place of
-each) and sent to suffix-array shards of about ``SHARD_BYTES``: each shard's array is built by induced sorting
+each) and, if they share the bytes on a side of the anchor with another one, sent to suffix-array shards of about ``SHARD_BYTES``: each shard's array is built by induced sorting
 (suffixes classified, leftmost-smaller substrings sorted recursively, the rest induced
 linearly) and read through permuted common prefixes.
 
@@ -103,7 +103,7 @@ def _high_low(content: bytes) -> tuple[int, int]:
 
 
 PIECE = [("anchor", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("start", pa.int64()),
-         ("end", pa.int64())]
+         ("end", pa.int64()), ("at", pa.int64())]          # at: of the anchor, from the start
 
 
 def _describer(length: int):
@@ -115,13 +115,13 @@ def _describer(length: int):
                 raw = text.encode()
                 sizes.append(len(raw))
                 digests.append(hashlib.sha256(raw).hexdigest())
-                first, _, h = anchors(np.frombuffer(raw, np.uint8), length)
+                first, place, h = anchors(np.frombuffer(raw, np.uint8), length)
                 ends = np.append(first[1:] - 1, len(raw) - length)[: len(first)] + length
                 view = memoryview(raw)
                 hashes = [_high_low(view[a:b]) for a, b in zip(first.tolist(), ends.tolist(),
                                                                strict=True)]
                 c1, c2 = zip(*hashes, strict=True) if hashes else ((), ())
-                for column, values in zip(columns, (h.view(np.int64), c1, c2, first, ends),
+                for column, values in zip(columns, (h.view(np.int64), c1, c2, first, ends, place - first),
                                           strict=True):
                     column.append(np.array(values, np.int64))
                 counts.append(counts[-1] + len(first))
@@ -136,22 +136,39 @@ def _describer(length: int):
     return run
 
 
-def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Contents of wanted pieces of each text."""
-    for batch in batches:
-        for row in range(batch.num_rows):
-            raw = batch.column("text")[row].as_py().encode()
-            wanted = batch.column("wanted")[row].as_py()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([w[c] for w in wanted], pa.int64()) for c in ("anchor", "c1", "c2")]
-                + [pa.array([raw[w["start"]: w["end"]] for w in wanted], pa.binary())],
-                ["anchor", "c1", "c2", "content"])
+def _fetch(length: int):
+    """Contents of wanted pieces of each text, with hashes of the sides of their anchors.
+
+    A window holds its anchor, so two equal windows agree on at least ``half`` bytes to the
+    anchor's left or on as many to its right.
+    """
+    gram = min(GRAM, length)
+    half = (length - gram + 1) // 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                raw = batch.column("text")[row].as_py().encode()
+                wanted = batch.column("wanted")[row].as_py()
+                contents = [raw[w["start"]: w["end"]] for w in wanted]
+                left = [xxhash.xxh3_64_intdigest(c[w["at"] - half: w["at"]]) - (1 << 63)
+                        if w["at"] >= half else None
+                        for w, c in zip(wanted, contents, strict=True)]
+                right = [xxhash.xxh3_64_intdigest(c[w["at"] + gram: w["at"] + gram + half]) - (1 << 63)
+                         if len(c) >= w["at"] + gram + half else None
+                         for w, c in zip(wanted, contents, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([w[c] for w in wanted], pa.int64()) for c in ("anchor", "c1", "c2", "n")]
+                    + [pa.array(left, pa.int64()), pa.array(right, pa.int64()),
+                       pa.array(contents, pa.binary())],
+                    ["anchor", "c1", "c2", "n", "left", "right", "content"])
+    return run
 
 
 def _shard_runs(length: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         found = repeated_starts(list(pdf.content), length)
-        pdf = pdf[["anchor", "c1", "c2"]].copy()
+        pdf = pdf[["c1", "c2"]].copy()
         pdf["starts"], pdf["ends"] = zip(*(merged(f, f + length) for f in found), strict=True)
         return pdf[pdf.starts.map(len) > 0]
     return run
@@ -174,10 +191,10 @@ def _window_hashes(length: int):
                 data = np.frombuffer(batch.column("content")[i].as_buffer(), np.uint8)
                 w1, w2 = (mix(rolling(data, length, b)).view(np.int64) for b in (GOLD, SECOND))
                 keys = [pa.array(np.full(len(w1), batch.column(c)[i].as_py()), pa.int64())
-                        for c in ("anchor", "c1", "c2")]
+                        for c in ("c1", "c2")]
                 yield pa.RecordBatch.from_arrays(
                     [*keys, pa.array(np.arange(len(w1)), pa.int64()), pa.array(w1), pa.array(w2)],
-                    ["anchor", "c1", "c2", "at", "w1", "w2"])
+                    ["c1", "c2", "at", "w1", "w2"])
     return run
 
 
@@ -189,52 +206,60 @@ def _array_runs(cool: DataFrame, length: int, shard_bytes: int) -> DataFrame:
                         "c2", "content")
             .repartition(shards, "shard").groupBy("shard").applyInPandas(
                 _shard_runs(length),
-                "anchor long, c1 long, c2 long, starts array<long>, ends array<long>"))
+                "c1 long, c2 long, starts array<long>, ends array<long>"))
 
 
 def _hash_runs(hot: DataFrame, length: int) -> DataFrame:
     """Repeated runs of contents of hot anchors by hashes of all their windows."""
-    windows = stored(hot.select("anchor", "c1", "c2", "content").mapInArrow(
-        _window_hashes(length), "anchor long, c1 long, c2 long, at long, w1 long, w2 long"),
-        "windows")
+    windows = stored(hot.select("c1", "c2", "content").mapInArrow(
+        _window_hashes(length), "c1 long, c2 long, at long, w1 long, w2 long"), "windows")
     again = (windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n"))
              .where("n > 1").select("w1", "w2"))
     at = (salted_join(windows, again, ["w1", "w2"], F.col("c1"))
-          .groupBy("anchor", "c1", "c2").agg(F.sort_array(F.collect_list("at")).alias("starts")))
+          .groupBy("c1", "c2").agg(F.sort_array(F.collect_list("at")).alias("starts")))
     return at.withColumn("ends", F.transform("starts", lambda x: x + length))
 
 
 def repeated_runs(texts: DataFrame, pieces: DataFrame, length: int = LENGTH,
                   shard_bytes: int = SHARD_BYTES, hot_pieces: int = HOT_PIECES) -> DataFrame:
-    """``anchor, c1, c2, starts, ends``: repeated bytes of each piece content.
+    """``c1, c2, starts, ends``: repeated bytes of each piece content.
 
     ``texts`` has ``k1, k2, text``; ``pieces`` one row per piece of each.
     """
-    contents = stored(pieces.groupBy("anchor", "c1", "c2").agg(
+    contents = stored(pieces.groupBy("c1", "c2").agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.first(c).alias(c) for c in ("k1", "k2", "start", "end")]), "contents")
+        *[F.first(c).alias(c) for c in ("anchor", "k1", "k2", "start", "end", "at")]), "contents")
     # a content that occurs twice is repeated from end to end
     whole = contents.where("n > 1").select(
-        "anchor", "c1", "c2", F.array(F.lit(0).cast("long")).alias("starts"),
+        "c1", "c2", F.array(F.lit(0).cast("long")).alias("starts"),
         F.array(F.col("end") - F.col("start")).alias("ends"))
-    kinds = (contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"),
-                                            F.min("n").alias("least"))
-             .where("kinds > 1 and least = 1").drop("least"))
-    mixed = salted_join(contents, kinds, ["anchor"], F.col("c1"))
-    wanted = (mixed.groupBy("k1", "k2").agg(F.collect_list(F.struct(
-        "anchor", "c1", "c2", "start", "end", "kinds", "n")).alias("wanted")))
+    several = (contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"),
+                                              F.min("n").alias("least"))
+               .where("kinds > 1 and least = 1").select("anchor"))
+    wanted = (salted_join(contents, several, ["anchor"], F.col("c1"))
+              .groupBy("k1", "k2").agg(F.collect_list(F.struct(
+                  "anchor", "c1", "c2", "start", "end", "at", "n")).alias("wanted")))
     found = stored(texts.join(wanted.hint("shuffle_hash"), ["k1", "k2"])
                    .select("text", "wanted").mapInArrow(
-                       _fetch, "anchor long, c1 long, c2 long, content binary")
-                   .dropDuplicates(["anchor", "c1", "c2"]), "fetched")
-    mixed = stored(found.join(mixed.select("anchor", "c1", "c2", "kinds", "n"),
-                              ["anchor", "c1", "c2"]), "mixed")
+                       _fetch(length), "anchor long, c1 long, c2 long, n long, left long, "
+                                       "right long, content binary"), "fetched")
+    # a content that shares neither side of its anchor with another one has no equal window
+    sides = [found.where(F.col(c).isNotNull()).groupBy("anchor", c)
+             .agg(F.count_distinct("c1", "c2").alias("m")).where("m > 1")
+             .select("anchor", c, F.lit(True).alias(f"{c}_met")) for c in ("left", "right")]
+    mixed = found.dropDuplicates(["c1", "c2"])
+    for c, side in zip(("left", "right"), sides, strict=True):
+        mixed = salted_join(mixed, side, ["anchor", c], F.col("c1"), "left")
+    mixed = mixed.where("left_met or right_met").select("anchor", "c1", "c2", "n", "content")
+    mixed = stored(mixed, "met")
+    kinds = mixed.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"))
+    mixed = salted_join(mixed, kinds, ["anchor"], F.col("c1"))
     runs = _array_runs(mixed.where(F.col("kinds") <= hot_pieces), length, shard_bytes)
     hot = mixed.where(F.col("kinds") > hot_pieces)
     if hot.limit(1).count():
         runs = runs.unionByName(_hash_runs(hot, length))
-    once = mixed.where("n = 1").select("anchor", "c1", "c2")
-    return whole.unionByName(runs.join(once, ["anchor", "c1", "c2"], "left_semi"))
+    once = mixed.where("n = 1").select("c1", "c2")
+    return whole.unionByName(runs.join(once, ["c1", "c2"], "left_semi"))
 
 
 def _remover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,8 +301,8 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     texts = rows.select("k1", "k2", "text")
     pieces = described.select("k1", "k2", F.inline("pieces"))
     runs = repeated_runs(texts, pieces, length, shard_bytes, hot_pieces)
-    spans = (salted_join(pieces.select("k1", "k2", "start", "anchor", "c1", "c2"), runs,
-                         ["anchor", "c1", "c2"], F.col("k1"))
+    spans = (salted_join(pieces.select("k1", "k2", "start", "c1", "c2"), runs, ["c1", "c2"],
+                         F.col("k1"))
              .groupBy("k1", "k2").agg(
                  F.flatten(F.collect_list(F.transform(
                      "starts", lambda x: x + F.col("start")))).alias("starts"),
