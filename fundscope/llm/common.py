@@ -7,10 +7,10 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fundscope.operators.joins import fresh, salted_join  # noqa: F401 - shared with the operators here
 from fundscope.session import ensure_checkpoint_dir
 
 HASH_SEED = 7
-SALTS = 8
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,28 +30,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def fresh(df: DataFrame, base: str) -> str:
-    """A column name that ``df`` does not have (compared without case)."""
-    taken = {c.lower() for c in df.columns}
-    name = base
-    while name.lower() in taken:
-        name += "_"
-    return name
-
-
 def key_pair(*cols: Column) -> list[Column]:
     """128 bits of hash as two longs ``k1``, ``k2`` (64 alone collide at 10^10 rows)."""
     return [F.xxhash64(*cols).alias("k1"), F.xxhash64(F.lit(HASH_SEED), *cols).alias("k2")]
-
-
-def salted_join(many: DataFrame, one: DataFrame, on: list[str], salt: Column,
-                how: str = "inner", salts: int = SALTS) -> DataFrame:
-    """Join a side that may hold hot keys with a side that has one row per key.
-
-    The rows of a hot key are dealt over ``salts`` tasks by ``salt`` (any integer
-    column of ``many``); the other side is repeated once for each salt.
-    """
-    name = fresh(many, "join_salt")
-    left = many.withColumn(name, F.pmod(F.hash(salt), F.lit(salts)))
-    right = one.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*on, name], how).drop(name)
