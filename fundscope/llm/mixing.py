@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundscope.llm.common import fresh, key_pair, salted_join, stored
@@ -100,33 +100,33 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS,
     the mix (factor 0), values without tokens are left out of the sums. Stops when the
     largest deviation of a share is under ``tolerance``.
     """
-    dims = list(targets)
     mass = cells.agg(F.sum("tokens")).first()[0] or 0
     table = cells.withColumn("factor", F.when(F.col("tokens") > 0, 1.0).otherwise(0.0))
-    goals = {}
     for d, t in targets.items():
         # targets of values that the cells do not have cannot be met: share them out
         there = t.join(cells.where("tokens > 0").select(d).distinct(), d, "left_semi")
-        goals[d] = stored(there.select(d, (F.col("target") / there.agg(F.sum("target")).scalar()
-                                           * mass).alias("goal")), f"target-{d}")
+        goal = there.select(d, (F.col("target") / there.agg(F.sum("target")).scalar()
+                                * mass).alias(f"goal_{d}"))
+        table = salted_join(table, goal, [d], F.hash(*DIMENSIONS), "left").na.fill(
+            0.0, [f"goal_{d}"])
+    goals = [f"goal_{d}" for d in targets]
+    table = stored(table, "rake-start")
     for _ in range(rounds):
-        worst = []
-        for d in dims:
-            sums = (table.groupBy(d).agg(F.sum(F.col("tokens") * F.col("factor")).alias("own"))
-                    .join(goals[d], d, "left")
-                    .select(d, F.when(F.col("own") > 0, F.coalesce("goal", F.lit(0.0))
-                                      / F.col("own")).otherwise(0.0).alias("scale"),
-                            (F.abs(F.col("own") - F.coalesce("goal", F.lit(0.0)))
-                             / F.lit(max(mass, 1))).alias(f"off_{d}")))
-            table = (table.join(sums, d).withColumn("factor", F.col("factor") * F.col("scale"))
-                     .drop("scale"))
-            worst.append(F.max(f"off_{d}"))
+        for d in targets:
+            # over the cells of one value: combinations of the other dimensions, no documents
+            own = F.sum(F.col("tokens") * F.col("factor")).over(Window.partitionBy(d))
+            table = (table.withColumn("own", own)
+                     .withColumn(f"off_{d}", F.abs(F.col("own") - F.col(f"goal_{d}")))
+                     .withColumn("factor", F.when(F.col("own") > 0, F.col("factor")
+                                                  * F.col(f"goal_{d}") / F.col("own")).otherwise(0.0))
+                     .drop("own"))
         table = stored(table, "raked")
-        off = max((x or 0.0 for x in table.agg(*worst).first()), default=0.0)
-        table = table.drop(*[f"off_{d}" for d in dims])
-        if off < tolerance:
+        off = [f"off_{d}" for d in targets]
+        worst = table.agg(*[F.max(c) for c in off]).first()
+        table = table.drop(*off)
+        if max((x or 0.0 for x in worst), default=0.0) < tolerance * max(mass, 1):
             break
-    return table
+    return table.drop(*goals)
 
 
 def draw_scale(cells: DataFrame, share: float) -> float:
@@ -138,9 +138,11 @@ def draw_scale(cells: DataFrame, share: float) -> float:
     low, high = 0.0, 1.0 / whole.lo
     for _ in range(4):
         grid = np.linspace(low, high, 65)
-        sums = cells.agg(*[F.sum(F.col("tokens") * F.least(F.lit(1.0), F.col("factor") * float(c)))
-                           for c in grid]).first()
-        at = int(np.searchsorted(np.array(sums, float), share * whole.t))
+        tried = cells.select("tokens", "factor", F.posexplode(
+            F.array(*[F.lit(float(c)) for c in grid])).alias("i", "c"))
+        sums = dict(tried.groupBy("i").agg(F.sum(F.col("tokens") * F.least(
+            F.lit(1.0), F.col("factor") * F.col("c")))).collect())
+        at = int(np.searchsorted([sums[i] for i in range(len(grid))], share * whole.t))
         low, high = grid[max(at - 1, 0)], grid[min(at, 64)]
     return float(high)
 
