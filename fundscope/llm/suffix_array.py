@@ -17,31 +17,35 @@ def suffix_types(s: np.ndarray) -> np.ndarray:
     return np.append(falls[nearest], False)
 
 
-def _induce(s, n: int, is_l: bytes, heads: list[int], tails: list[int], seeds: list[int]) -> list[int]:
-    """Order of all suffixes induced from leftmost-smaller ones in the order given."""
-    sa = [0] * n                                           # 0 also stands for "not yet"
+def _induce(before, l_before: bytes, s_before: bytes, heads: list[int], tails: list[int],
+            seeds: list[int], symbols) -> np.ndarray:
+    """Order of all suffixes induced from leftmost-smaller ones in the order given.
+
+    ``before[x]`` is the symbol before position x; ``l_before`` and ``s_before`` tell whether
+    the suffix that starts there is the larger or the smaller kind (0 for x = 0, which also
+    stands for "not yet").
+    """
+    sa = array("i", bytes(4 * len(l_before)))
     tail = tails.copy()
-    for i in reversed(seeds):
-        c = s[i]
-        tail[c] -= 1
-        sa[tail[c]] = i
+    for x in reversed(seeds):
+        c = symbols[x]
+        t = tail[c] = tail[c] - 1
+        sa[t] = x
     head = heads.copy()
     for x in sa:                                           # larger suffixes, left to right
-        if x:
-            x -= 1
-            if is_l[x]:
-                c = s[x]
-                sa[head[c]] = x
-                head[c] += 1
+        if l_before[x]:
+            c = before[x]
+            h = head[c]
+            sa[h] = x - 1
+            head[c] = h + 1
     tail = tails.copy()
     for x in reversed(sa):                                 # smaller suffixes, right to left
-        if x:
-            x -= 1
-            if not is_l[x]:
-                c = s[x]
-                tail[c] -= 1
-                sa[tail[c]] = x
-    return sa
+        if s_before[x]:
+            c = before[x]
+            t = tail[c] = tail[c] - 1
+            sa[t] = x - 1
+    sa[0] = len(sa) - 1                                    # the sentinel
+    return np.frombuffer(sa, np.int32).astype(np.int64)
 
 
 def induced_suffix_array(s: np.ndarray) -> np.ndarray:
@@ -50,18 +54,19 @@ def induced_suffix_array(s: np.ndarray) -> np.ndarray:
     if n <= 2:
         return np.arange(n)[::-1].copy()
     types = suffix_types(s)
-    is_l = types.astype(np.uint8).tobytes()
     counts = np.bincount(s)
     ends = np.cumsum(counts)
     heads, tails = (ends - counts).tolist(), ends.tolist()
+    kind = types.astype(np.uint8)
+    l_before = b"\0" + kind[:-1].tobytes()
+    s_before = b"\0" + (1 - kind[:-1]).tobytes()
     symbols = s.astype(np.uint8).tobytes() if len(counts) <= 256 else s.tolist()
+    before = symbols[:1] + symbols[:-1]
     lms = np.flatnonzero(~types[1:] & types[:-1]) + 1
-    sa = _induce(symbols, n, is_l, heads, tails, lms.tolist())
-    sa[0] = n - 1
+    order = _induce(before, l_before, s_before, heads, tails, lms.tolist(), symbols)
     # name the leftmost-smaller substrings in their induced order; equal ones share a name
     is_lms = np.zeros(n, bool)
     is_lms[lms] = True
-    order = np.array(sa)
     order = order[is_lms[order]]
     raw = s.astype(np.int32).tobytes()
     upto = np.zeros(n, np.int64)
@@ -77,9 +82,7 @@ def induced_suffix_array(s: np.ndarray) -> np.ndarray:
         ranks = order
     else:
         ranks = lms[induced_suffix_array(reduced)]
-    sa = _induce(symbols, n, is_l, heads, tails, ranks.tolist())
-    sa[0] = n - 1
-    return np.array(sa)
+    return _induce(before, l_before, s_before, heads, tails, ranks.tolist(), symbols)
 
 
 def permuted_lcp(data: bytes, sa: np.ndarray) -> np.ndarray:

@@ -40,7 +40,7 @@ from fundscope.llm.suffix_array import repeated_starts
 LENGTH = 400
 GRAM = 96                       # bytes of an anchor
 CHUNK = 4 << 20                 # windows handled at once; positions in a chunk fit 24 bits
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 256 << 10        # an array this small stays in a processor's cache
 HOT_PIECES = 1500
 SECOND = U(0xD6E8FEB86659FD93)  # an odd multiplier
 BYTE_CODE = mix((np.arange(256, dtype=np.uint64) + U(1)) * GOLD)
@@ -96,12 +96,6 @@ def anchors(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndar
     return np.concatenate(starts), np.concatenate(places), np.concatenate(hashes)
 
 
-def _high_low(content: bytes) -> tuple[int, int]:
-    """128-bit hash as two signed longs."""
-    c = xxhash.xxh3_128_intdigest(content)
-    return (c >> 64) - (1 << 63), (c & ((1 << 64) - 1)) - (1 << 63)
-
-
 PIECE = [("anchor", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("start", pa.int64()),
          ("end", pa.int64()), ("at", pa.int64())]          # at: of the anchor, from the start
 
@@ -118,9 +112,9 @@ def _describer(length: int):
                 first, place, h = anchors(np.frombuffer(raw, np.uint8), length)
                 ends = np.append(first[1:] - 1, len(raw) - length)[: len(first)] + length
                 view = memoryview(raw)
-                hashes = [_high_low(view[a:b]) for a, b in zip(first.tolist(), ends.tolist(),
-                                                               strict=True)]
-                c1, c2 = zip(*hashes, strict=True) if hashes else ((), ())
+                digest = b"".join([xxhash.xxh3_128_digest(view[a:b]) for a, b in zip(
+                    first.tolist(), ends.tolist(), strict=True)])
+                c1, c2 = np.frombuffer(digest, np.int64).reshape(-1, 2).T
                 for column, values in zip(columns, (h.view(np.int64), c1, c2, first, ends, place - first),
                                           strict=True):
                     column.append(np.array(values, np.int64))
