@@ -11,7 +11,7 @@ import itertools
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fundscope.functions import columns as C
@@ -64,7 +64,7 @@ def success_by_goal_bin(spark, sf):
     groups = (features(spark, sf).groupBy("goalBin")
               .agg(F.count(F.lit(1)).alias("campaigns"), F.sum("label").alias("successes"),
                    F.round(F.avg("label"), 6).alias("success_rate")))
-    total = groups.select(F.sum("campaigns")).scalar()
+    total = F.sum("campaigns").over(Window.partitionBy())      # over four bins
     return (groups.withColumn("share", F.round(F.col("campaigns") / total, 6))
             .orderBy("goalBin"))
 
@@ -216,7 +216,7 @@ def share_by(spark, sf):
     long = features(spark, sf).select(F.inline(F.array(*[F.struct(
         F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in names])))
     counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("count"))
-    total = counts.where(F.col("feature") == "label").select(F.sum("count")).scalar()
+    total = counts.select(F.sum("count") / len(names)).scalar()  # each row counts once a name
     return counts.withColumn("share", F.round(F.col("count") / total, 9))
 
 

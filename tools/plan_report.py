@@ -1,10 +1,10 @@
-"""Summarise physical plans of registered queries (no execution).
+"""Summarise the final (adaptive) plans of registered queries.
 
     python tools/plan_report.py [--sf DIR] [name ...] > PLANS.md
 
-Per query: number of shuffles (Exchange), broadcast exchanges, join kinds,
-aggregate kinds, Python-UDF stages and the pushed filters / read schema of each
-parquet scan, taken from ``explain("formatted")`` of the initial plan.
+Each query is run once; then its final plan is read: base-table scans that ran, exchanges,
+reused exchanges, broadcasts, join and aggregate kinds, windows, Python stages, and the
+pushed filters and read schema of each scan.
 """
 
 from __future__ import annotations
@@ -18,62 +18,61 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SKIP = {"lr_cv", "dt_cv", "rf_cv", "svc_cv", "predict", "lr_plain", "model_matrix",
-        "encoded_features", "indexed_features", "json_round_trip", "delimited_round_trip",
-        "csv_round_trip",
-        "vector_index", "describe_goal"}   # these run jobs while being planned
+def summarise(text: str) -> dict:
+    trees = re.findall(r"== Final Plan ==\n(.*?)\+- == Initial Plan ==", text, flags=re.S)
+    if not trees:                                          # nothing adaptive in this plan
+        trees = [text.split("\n\n(1)")[0]]
+    lines = re.findall(r"(?m)^[^A-Za-z]*([A-Z]\w+(?: parquet)?)[^\n(]*\((\d+)\)", "\n".join(trees))
+    ops = [name for name, _ in lines]
+    numbers = {n for name, n in lines if name == "Scan parquet"}
+    scans = []
+    for n in sorted(numbers, key=int):
+        body = re.search(rf"\({n}\) Scan parquet.*?\n(.*?)(?=\n\n\(|\Z)", text, flags=re.S)
+        body = body.group(1) if body else ""
+        loc = re.search(r"Location: \w+ \[file:([^\],]+)", body)
+        pushed = re.search(r"PushedFilters: (\[.*?\])", body)
+        schema = re.search(r"ReadSchema: (struct<.*?>)\n?", body)
+        scans.append((os.path.basename(loc.group(1)) if loc else "?",
+                      pushed.group(1) if pushed else "[]", schema.group(1) if schema else "?"))
 
+    def kinds(suffix: str) -> str:
+        return ", ".join(sorted({o for o in ops if o.endswith(suffix)})) or "-"
 
-def summarise(text: str) -> dict:
-    main = text.split("===== Subqueries =====")[0]
-    ops = re.findall(r"^\((\d+)\) (\w+)", main, flags=re.M)
-    names = [o[1] for o in ops]
-    scans = re.findall(r"\(\d+\) Scan parquet.*?\n(.*?)(?=\n\(\d+\)|\Z)", main, flags=re.S)
-    scan_info = []
-    for s in scans:
-        loc = re.search(r"Location: \w+ \[file:([^\]]+)\]", s)
-        pushed = re.search(r"PushedFilters: (\[.*?\])", s)
-        schema = re.search(r"ReadSchema: (struct<.*?>)\n?", s)
-        scan_info.append((os.path.basename(loc.group(1)) if loc else "?",
-                          pushed.group(1) if pushed else "[]",
-                          schema.group(1) if schema else "?"))
-    return {
-        "shuffles": sum(1 for n in names if n == "Exchange"),
-        "broadcasts": sum(1 for n in names if n == "BroadcastExchange"),
-        "joins": sorted({n for n in names if n.endswith("Join")}),
-        "aggregates": sorted({n for n in names if n.endswith("Aggregate")}),
-        "python": sorted({n for n in names if "Python" in n or "ArrowEval" in n
-                          or "MapInPandas" in n}),
-        "windows": sum(1 for n in names if n == "Window"),
-        "subqueries": text.count("Subquery:"),
-        "scans": scan_info,
-    }
+    return {"scans": sum(o == "Scan parquet" for o in ops),
+            "shuffles": sum(o == "Exchange" for o in ops),
+            "reused": sum(o == "ReusedExchange" for o in ops),
+            "broadcasts": sum(o == "BroadcastExchange" for o in ops),
+            "joins": kinds("Join"), "aggregates": kinds("Aggregate"),
+            "windows": sum(o == "Window" for o in ops),
+            "python": ", ".join(sorted({o for o in ops if "Python" in o or "Arrow" in o
+                                        or "Pandas" in o})) or "-",
+            "detail": scans}
 
 
 def main() -> None:
     ap = argparse.ArgumentParser()
-    ap.add_argument("--sf", default="/root/testdata/sf0.1")
+    ap.add_argument("--sf", default="/root/testdata/sf0.01")
     ap.add_argument("names", nargs="*")
     args = ap.parse_args()
-    import __spark_entry__ as entry
+    from fundscope.plans import catalog
     from fundscope.session import get_spark
     spark = get_spark()
-    qs = entry.queries()
-    names = args.names or [n for n in qs if n not in SKIP]
-    print(f"# Physical plans at {args.sf} (initial plan, before AQE)\n")
-    print("| query | shuffles | broadcasts | joins | aggregates | windows | python | "
-          "scalar subqueries |")
-    print("|---|---|---|---|---|---|---|---|")
+    names = args.names or [n for n in catalog.QUERIES if n not in catalog.SEARCHES]
+    print(f"# Final plans at {args.sf}\n")
+    print("Grid searches are left out (hundreds of fits each). Queries that run jobs while they "
+          "are built show their last plan.\n")
+    head = ["scans", "shuffles", "reused", "broadcasts", "joins", "aggregates", "windows", "python"]
+    print("| query | " + " | ".join(head) + " |\n|" + "---|" * (len(head) + 1))
     details = []
     for n in names:
+        df = catalog.QUERIES[n](spark, args.sf)
+        df.collect()
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
-            qs[n](spark, args.sf).explain("formatted")
-        s = summarise(buf.getvalue())
-        print(f"| {n} | {s['shuffles']} | {s['broadcasts']} | {', '.join(s['joins']) or '-'} | "
-              f"{', '.join(s['aggregates']) or '-'} | {s['windows']} | "
-              f"{', '.join(s['python']) or '-'} | {s['subqueries']} |")
-        details.append((n, s["scans"]))
+            df.explain("formatted")
+        found = summarise(buf.getvalue())
+        print(f"| {n} | " + " | ".join(str(found[k]) for k in head) + " |")
+        details.append((n, found["detail"]))
     print("\n## Scans (pushed filters, read schema)\n")
     for n, scans in details:
         for table, pushed, schema in scans:
