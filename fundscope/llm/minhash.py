@@ -42,6 +42,7 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 40, 7           # a pair of similarity 0.8 shares a band with probability 0.9999
 PARITY_BITS = 2048
+PAIRS_PER_BLOCK = 64
 TOGETHER = 128                # documents sketched by one set of array operations
 CACHE_ENTRIES = 200_000
 U = np.uint64
@@ -197,7 +198,8 @@ def _shingle_rows(weighting: str):
             yield pa.RecordBatch.from_arrays(
                 [batch.column("node"),
                  pa.array([s.view(np.int64) for s, _ in sets], pa.list_(pa.int64())),
-                 pa.array([c.astype(np.int32) for _, c in sets], pa.list_(pa.int32())),
+                 pa.array([c.astype(np.int32) if weighting == "count" else [] for _, c in sets],
+                          pa.list_(pa.int32())),
                  pa.array([parity_bits(s, c, weighting) for s, c in sets], pa.list_(pa.int64()))],
                 ["node", "shingles", "counts", "parity"])
     return run
@@ -209,8 +211,12 @@ def _similar(pairs: DataFrame, sets: DataFrame, weighting: str) -> DataFrame:
                       F.col("counts").alias("ca"))
     two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"),
                       F.col("counts").alias("cb"))
-    # b is a leader and may be hot: its set is repeated for each salt, its pairs dealt out
-    both = salted_join(pairs.join(one, "a"), two, ["b"], F.col("a"))
+    # b is a leader and may be hot: its set is repeated once per block of its pairs
+    asked = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n"))
+    dealt = salted_join(pairs, asked, ["b"], F.col("a")).select(
+        "a", "b", F.pmod(F.hash("a"), F.ceil(F.col("n") / PAIRS_PER_BLOCK)).alias("block"))
+    two = dealt.select("b", "block").distinct().join(two, "b")
+    both = dealt.join(one, "a").join(two, ["b", "block"])
     if weighting == "set":
         common = F.size(F.array_intersect("sa", "sb")).cast("double")
         whole = F.size("sa") + F.size("sb") - common
