@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundscope.llm import ann, bpe, langid
+from fundscope.llm import alignment, ann, bpe, langid
 from fundscope.llm import line_dedup as ld
 from fundscope.llm import minhash, mixing
 from fundscope.llm import quality_classifier as qc
@@ -90,6 +90,12 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "grown_shard", "vslot", "vslot_bytes"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return alignment.aligned(docs, public_tokenizers.path("byte_bpe_50k.json"),
+                             public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_line_dedup": op2_line_dedup,
@@ -101,6 +107,7 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_quality_rules": op9_quality_rules,
     "op10_sharding": op10_sharding,
+    "op11_alignment": op11_alignment,
 }
 
 ORACLE = {
