@@ -11,6 +11,7 @@ from fundscope.llm import line_dedup as ld
 from fundscope.llm import minhash, mixing
 from fundscope.llm import quality_classifier as qc
 from fundscope.llm import quality_rules as qr
+from fundscope.llm import runs
 from fundscope.llm import sharding as sh
 from fundscope.llm import suffix_dedup as sd
 from fundscope.llm.common import documents, stored, work_path
@@ -96,6 +97,13 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
                              public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    out = runs.detect(docs, checksum=F.crc32(F.col("doc_id").cast("string").cast("binary")),
+                      digests=True)
+    return out.withColumnsRenamed({"runs_text": "runs_sha256", "collapsed": "collapsed_sha256"})
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_line_dedup": op2_line_dedup,
@@ -108,6 +116,7 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_sharding": op10_sharding,
     "op11_alignment": op11_alignment,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 ORACLE = {
