@@ -14,6 +14,7 @@ from fundscope.llm import quality_rules as qr
 from fundscope.llm import runs
 from fundscope.llm import sharding as sh
 from fundscope.llm import suffix_dedup as sd
+from fundscope.llm import topk
 from fundscope.llm.common import documents, stored, work_path
 
 SHARDS = 8
@@ -104,6 +105,11 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumnsRenamed({"runs_text": "runs_sha256", "collapsed": "collapsed_sha256"})
 
 
+def op13_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return topk.search(vectors, F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_line_dedup": op2_line_dedup,
@@ -117,6 +123,7 @@ QUERIES = {
     "op10_sharding": op10_sharding,
     "op11_alignment": op11_alignment,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_top_products": op13_top_products,
 }
 
 ORACLE = {
@@ -138,4 +145,20 @@ ORACLE = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), ''))
                    AS kept_sha256
         FROM marked GROUP BY doc_id""",
+    "op13_top_products": """
+        WITH whole AS (
+            SELECT row_number() OVER () AS r, vec_id,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+        scored AS (
+            SELECT q.r, q.vec_id AS query_id, c.vec_id,
+                   list_inner_product(q.v, c.v)::BIGINT AS score
+            FROM whole q JOIN whole c ON q.r <> c.r WHERE q.vec_id % 50 = 0),
+        ranked AS (
+            SELECT query_id, row_number() OVER (
+                       PARTITION BY r ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+            FROM scored)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
 }
