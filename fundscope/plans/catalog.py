@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fundscope.functions import columns as C
-from fundscope.operators import keywords, metrics, pages, records, sampling, shape, stats
+from fundscope.operators import keywords, metrics, pages, records, sampling, shape, similar, stats
 from fundscope.plans import features as feat
 from fundscope.plans import models
 from fundscope.plans.oracle import on_campaigns, on_features, on_scored
@@ -707,6 +707,26 @@ def top_keywords(spark, sf):
     return kw.withColumn("tfidf", F.round("tfidf", 6))
 
 
+@register("similar_documents", "with " + _TOKENS_CTE + """,
+per_doc as (select doc_id, term, count(*) as n from toks group by 1, 2),
+dfs as (select term, count(*) as df from per_doc group by term),
+weighted as (select p.doc_id, p.term, d.df,
+                    p.n * ln(((select count(distinct doc_id) from documents) + 1) / (d.df + 1)) as x
+             from per_doc p join dfs d using (term)),
+unit as (select doc_id, term, x / sqrt(sum(x * x) over (partition by doc_id)) as w
+         from weighted where x > 0),
+scored as (select q.doc_id as query, d.doc_id as doc, round(sum(q.w * d.w), 9) as cosine
+           from unit q join unit d on q.term = d.term and q.doc_id <> d.doc_id
+           where q.doc_id % 100 = 0 group by 1, 2)
+select query, cast(rank as integer) as rank, doc, round(cosine, 6) as cosine from (
+  select *, row_number() over (partition by query order by cosine desc, doc) as rank
+  from scored where cosine > 0) r where rank <= 5""")
+def similar_documents(spark, sf):
+    """The five most similar documents of every hundredth document."""
+    found = similar.similar_documents(tables.load(spark, sf, "documents"), F.col("doc") % 100 == 0)
+    return found.withColumn("cosine", F.round("cosine", 6))
+
+
 # ------------------------------------------------------------ models (M*)
 
 @register("string_index", on_features("""
