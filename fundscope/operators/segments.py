@@ -35,14 +35,16 @@ from fundscope.session import stored_table
 LINE_SHIFT = 1 << 31                        # a marker's place: line number x LINE_SHIFT + offset
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_lines(spark: SparkSession, path: str, name_from: str | None = None) -> DataFrame:
     """``file, lo, hi, seg, line, value, bytes``: the lines of description files, by split.
 
-    ``bytes`` is the file's size (tells whether a newline ends the file).
+    ``bytes`` is the file's size (tells whether a newline ends the file). ``name_from`` takes
+    the name from the file's path by a pattern with one group.
     """
     meta = F.col("_metadata")
+    name = F.regexp_extract(meta["file_path"], name_from, 1) if name_from else meta["file_name"]
     rows = (spark.read.option("lineSep", "\n").text(path)
-            .select("value", meta["file_name"].alias("file"), meta["file_block_start"].alias("seg"),
+            .select("value", name.alias("file"), meta["file_block_start"].alias("seg"),
                     meta["file_size"].alias("bytes"), F.monotonically_increasing_id().alias("line")))
     rows = rows.withColumns({"lo": F.regexp_extract("file", FILE_PATTERN, 1).try_cast("bigint"),
                              "hi": F.regexp_extract("file", FILE_PATTERN, 2).try_cast("bigint")})

@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fundscope.functions import columns as C
-from fundscope.operators import keywords, metrics, pages, records, sampling, shape, similar, stats
+from fundscope.operators import keywords, metrics, pages, records, sampling, segments, shape, similar, stats
 from fundscope.plans import features as feat
-from fundscope.plans import models
+from fundscope.plans import models, search
 from fundscope.plans.oracle import on_campaigns, on_features, on_scored
 from fundscope.sources import tables
 from fundscope.sources.tables import CATEGORY, CUTOFF, HOME_COUNTRY, KEEP_STANDIN
@@ -590,10 +590,29 @@ from batched""")
 def repaired_records(spark, sf):
     """Every text holds the next record's marker inside a line and a later record's
     marker at a line start; the true texts must come back."""
+    return records.assemble_records(_false_marker_files(spark, sf))
+
+
+def _false_marker_files(spark, sf):
     docs = tables.load(spark, sf, "documents")
     text = F.concat(F.coalesce("text", F.lit("")), F.lit(" see "), (F.col("doc_id") + 1).cast(
         "string"), F.lit("| and\n"), (F.col("doc_id") + 7).cast("string"), F.lit("|end"))
-    return records.assemble_records(records.description_files(docs.withColumn("text", text)))
+    return records.description_files(docs.withColumn("text", text))
+
+
+@register("segmented_records", """
+with """ + _BATCH_CTE + """
+select 'project_description_' || lo || '_' || hi || '.txt' as file_name,
+       doc_id as idx, """ + _FALSE_MARKERS_SQL + """ as text, true as complete
+from batched""")
+def segmented_records(spark, sf):
+    """T2+T3 on files of any size: the same files written out and read by splits."""
+    path = _export_dir(spark, "segmented-files")
+    made = _false_marker_files(spark, sf).select("value", F.col("file_name").alias("file"))
+    made.repartition("file").write.partitionBy("file").text(path)
+    lines = segments.read_lines(spark, f"{path}/*", name_from=r"file=([^/]*)/")
+    # the text sink ends every file with a newline
+    return segments.assemble_large(lines).withColumn("text", F.regexp_replace("text", r"\n\z", ""))
 
 
 @register("missing_records", """
@@ -846,6 +865,35 @@ for _name, (_kind, _grid) in SEARCHES.items():
     register(_name, _grid_sql(_kind, _grid))(_search_query(_kind, _grid))
 
 
+def _whole_search_query(kind: str):
+    def run(spark, sf):
+        """Mean area of each setting of the whole grid, from the ledger; one is the best."""
+        ledger = search.run(_prepared(spark, sf), kind, models.REFERENCE_GRIDS[kind],
+                            _export_dir(spark, f"ledger-{kind}"))
+        return search.results(ledger)
+    return run
+
+
+def _searched_predict_query(kind: str):
+    def run(spark, sf):
+        """The searched best model and its encoder, saved, read back and applied."""
+        p = _prepared(spark, sf)
+        grid, path = models.REFERENCE_GRIDS[kind], _export_dir(spark, f"searched-{kind}")
+        search.finish(p, kind, grid, search.run(p, kind, grid, f"{path}/ledger"), path)
+        f = features(spark, sf)
+        pred = search.predict(kind, path, f).select("id", "prediction", "score")
+        return f.select("id", F.col("label").cast("int").alias("label")).join(pred, "id", "left").select(
+            "id", "label", F.col("prediction").isNotNull().alias("predicted"),
+            F.col("prediction").isin(0, 1).alias("valid"),
+            (F.col("prediction") == (F.col("score") > models.THRESHOLDS[kind]).cast("int")).alias("agrees"))
+    return run
+
+
+# Whole grids in one search each (the slices above are parts of them).
+for _kind, _short in (("tree", "dt"), ("forest", "rf")):
+    register(f"{_short}_search")(_whole_search_query(_kind))
+
+
 # One setting of each reference grid, for the predictions.
 FIXED_SETTINGS = {"logistic": {"regParam": 0.01, "elasticNetParam": 0.0},
                   "tree": {"impurity": "gini", "maxDepth": 5, "maxBins": 20, "minInstancesPerNode": 10},
@@ -888,6 +936,11 @@ for _kind, _name in (("logistic", "lr_predict"), ("tree", "dt_predict"),
                      ("forest", "rf_predict"), ("svm", "svc_predict")):
     register(_name, _PREDICT_SQL)(_predict_query(_kind))
 
+register("svc_searched_predict", on_features(f"""
+select id, label, {_NUMBERS_GIVEN} as predicted, case when {_NUMBERS_GIVEN} then true end as valid,
+       case when {_NUMBERS_GIVEN} then true end as agrees from features"""))(
+    _searched_predict_query("svm"))
+
 
 # ------------------------------------------------------------ SQL text on a temp view (S3, L-1)
 

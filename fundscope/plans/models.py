@@ -64,6 +64,11 @@ REFERENCE_GRIDS: dict[str, dict[str, list]] = {
     },
 }
 
+# Bounds of a fit, beside the searched settings. The margin loss has no curvature: near its
+# optimum the optimizer's line search fails on rounding (NaN in its history) long after the
+# objective stands still, so it ends at a coarser tolerance.
+LIMITS = {"svm": {"tol": 1e-4, "maxIter": 50}}
+
 ESTIMATORS = {
     "logistic": LogisticRegression,
     "tree": DecisionTreeClassifier,
@@ -161,7 +166,7 @@ def search(prepared: Prepared, kind: str, grid: dict[str, list] | None = None,
     at once as the session has cores, unless ``parallelism`` says otherwise.
     """
     parallelism = parallelism or prepared.train.sparkSession.sparkContext.defaultParallelism
-    est = ESTIMATORS[kind](featuresCol="features", labelCol="y")
+    est = ESTIMATORS[kind](featuresCol="features", labelCol="y", **LIMITS.get(kind, {}))
     if hasattr(est, "setSeed"):
         est = est.setSeed(seed)
     maps = build_grid(est, grid if grid is not None else REFERENCE_GRIDS[kind])
@@ -169,7 +174,9 @@ def search(prepared: Prepared, kind: str, grid: dict[str, list] | None = None,
                                               metricName="areaUnderROC", numBins=0)
     cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=evaluator,
                         numFolds=folds, parallelism=parallelism, foldCol="fold", seed=seed)
-    train = prepared.train.withColumn("fold", F.col("fold") % folds).persist()
+    # bounded rows: an iteration is a job, so few partitions (as in plans/search.py)
+    parts = max(1, -(-prepared.train.count() // 50_000))
+    train = prepared.train.withColumn("fold", F.col("fold") % folds).coalesce(parts).persist()
     try:
         cv_model = cv.fit(train)
     finally:
