@@ -104,17 +104,23 @@ def same_url_conflicts(df: DataFrame, url: str = "url", name: str = "name",
     the square of a url's size. A row has at least one such partner exactly when
     its name is not null and its url carries two or more distinct names, i.e.
     the least and greatest name of the url differ. We return each such row once
-    with one partner name (the url's least or greatest name, whichever differs).
-    One partial aggregate and one salted join: linear in the input.
+    with one partner name (the url's least or greatest name, whichever differs), the rows of
+    its url (``url_rows``) and how many of them have another name (``partners``: the pairs
+    the reference lists for this row). Partial aggregates by (url, name), then by url, and salted
+    joins: linear in the input.
     """
     valid = df.where(F.col(url).isNotNull() & F.col(name).isNotNull())
-    per_url = (valid.groupBy(url)
-               .agg(F.min(name).alias("_min_name"), F.max(name).alias("_max_name"))
+    per_name = valid.groupBy(url, name).agg(F.count(F.lit(1)).alias("_same"))
+    per_url = (per_name.groupBy(url)
+               .agg(F.min(name).alias("_min_name"), F.max(name).alias("_max_name"),
+                    F.sum("_same").alias("url_rows"))
                .where(F.col("_min_name") != F.col("_max_name")))
-    return (salted_join(valid.select(*carry, name, url), per_url, [url], F.hash(*carry))
+    classes = salted_join(per_name, per_url, [url], F.hash(name))
+    return (salted_join(valid.select(*carry, name, url), classes, [url, name], F.hash(*carry))
             .select(*carry, name, url,
                     F.when(F.col(name) == F.col("_min_name"), F.col("_max_name"))
-                     .otherwise(F.col("_min_name")).alias("other_name")))
+                     .otherwise(F.col("_min_name")).alias("other_name"),
+                    "url_rows", (F.col("url_rows") - F.col("_same")).alias("partners")))
 
 
 def attach_by_key(left: DataFrame, right: DataFrame, key: str | Sequence[str],

@@ -287,3 +287,29 @@ def describe(df: DataFrame, col: str, digits: int | None = None) -> DataFrame:
         out = out.select(*[F.round(c, digits).alias(c) if c != "count" else F.col(c)
                            for c in out.columns])
     return out
+
+
+# ------------------------------------------------------------ stored distinct sketches (A2)
+
+SKETCH_BITS = 14                            # 2**14 registers: standard error 0.0065
+
+
+def sketch_error(bits: int = SKETCH_BITS) -> float:
+    """Relative standard error of an estimate (0.8326 / sqrt(registers))."""
+    return 0.8326 / 2 ** (bits / 2)
+
+
+def distinct_sketches(df: DataFrame, by: Sequence[str], cols: Sequence[str],
+                      bits: int = SKETCH_BITS) -> DataFrame:
+    """A2: one mergeable sketch of the distinct values of each column, for each group.
+
+    A sketch has a bounded size (16 KB at 14 bits), so it can be stored and united later into any
+    coarser grouping without reading the rows again.
+    """
+    return df.groupBy(*by).agg(*[F.hll_sketch_agg(F.col(c).cast("string"), bits).alias(c) for c in cols])
+
+
+def united_estimates(sketches: DataFrame, by: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """A2: estimates ``<col>_estimate`` of stored sketches, united by a coarser grouping."""
+    return sketches.groupBy(*by).agg(*[
+        F.hll_sketch_estimate(F.hll_union_agg(c)).alias(f"{c}_estimate") for c in cols])

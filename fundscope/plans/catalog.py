@@ -19,6 +19,7 @@ from fundscope.operators import keywords, metrics, pages, records, sampling, seg
 from fundscope.plans import features as feat
 from fundscope.plans import models, search
 from fundscope.plans.oracle import on_campaigns, on_features, on_scored
+from fundscope.session import stored_table
 from fundscope.sources import tables
 from fundscope.sources.tables import CATEGORY, CUTOFF, HOME_COUNTRY, KEEP_STANDIN
 
@@ -179,6 +180,22 @@ def distinct_counts(spark, sf):
     return stats.distinct_counts(campaigns(spark, sf), ["name", "url", "subCategory"])
 
 
+@register("distinct_sketches", on_campaigns("""
+select year(launched_at) as year, count(distinct name) as names, count(distinct url) as urls,
+       true as names_near, true as urls_near
+from campaigns group by 1"""))
+def distinct_sketches(spark, sf):
+    """A2: sketches stored by month, united by year; within four standard errors of the counts."""
+    c = campaigns(spark, sf).select(F.year("launched_at").alias("year"),
+                                    F.month("launched_at").alias("month"), "name", "url")
+    kept = stored_table(stats.distinct_sketches(c, ["year", "month"], ["name", "url"]), "sketches")
+    exact = c.groupBy("year").agg(F.count_distinct("name").alias("names"), F.count_distinct("url").alias("urls"))
+    both = exact.join(stats.united_estimates(kept, ["year"], ["name", "url"]), "year")
+    near = lambda n, e: F.abs(F.col(e) - F.col(n)) <= 4 * stats.sketch_error() * F.col(n)
+    return both.select("year", "names", "urls", near("names", "name_estimate").alias("names_near"),
+                       near("urls", "url_estimate").alias("urls_near"))
+
+
 @register("distinct_states", on_campaigns("select distinct state from campaigns"))
 def distinct_states(spark, sf):
     return stats.distinct_values(campaigns(spark, sf), "state")
@@ -372,7 +389,9 @@ def hist_range(spark, sf):
 @register("same_url_pairs", on_campaigns("""
 select c.id, c.launched_at, c.name, c.url,
        (select case when min(o.name) < c.name then min(o.name) else max(o.name) end
-        from campaigns o where o.url = c.url and o.name <> c.name) as other_name
+        from campaigns o where o.url = c.url and o.name <> c.name) as other_name,
+       (select count(*) from campaigns o where o.url = c.url and o.name is not null) as url_rows,
+       (select count(*) from campaigns o where o.url = c.url and o.name <> c.name) as partners
 from campaigns c
 where exists (select 1 from campaigns o where o.url = c.url and o.name <> c.name)"""))
 def same_url_pairs(spark, sf):
@@ -401,8 +420,9 @@ select id, name, url, launched_at from (
   select *, row_number() over (partition by id order by name) as rn from crawl) t
 where rn = 1""", _RECRAWL_CTE))
 def dedupe_by_key(spark, sf):
-    d = shape.dedupe_by_key(_recrawl(spark, sf), ["id"], order=["name"])
-    return d.select("id", "name", "url", "launched_at")
+    # narrow first: the survivor is packed into one aggregate with all its columns
+    crawl = _recrawl(spark, sf).select("id", "name", "url", "launched_at")
+    return shape.dedupe_by_key(crawl, ["id"], order=["name"])
 
 
 @register("distinct_rows", on_features("""
@@ -1099,6 +1119,32 @@ def table_round_trip(spark, sf):
     return spark.table(name)
 
 
+def laid_out(spark, sf, buckets: int = 8) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Two crawls of the campaigns as managed tables laid out by id, and the tables' names."""
+    from fundscope.sources import files
+    names = [f"fundscope_laid_{uuid.uuid4().hex}" for _ in range(2)]
+    c = _recrawl(spark, sf).select("id", "name", "url", "launched_at")
+    files.save_bucketed(c, names[0], ["id"], buckets)
+    files.save_bucketed(c.select("id", F.length("name").alias("name_chars")).distinct(), names[1], ["id"], buckets)
+    return spark.table(names[0]), spark.table(names[1]), names
+
+
+@register("laid_out_tables", on_campaigns("""
+select k.id, k.name, max(n.name_chars) as longest from (
+  select id, name, row_number() over (partition by id order by name) as rn from crawl) k
+join (select id, length(name) as name_chars from crawl) n using (id)
+where rn = 1 group by 1, 2""", _RECRAWL_CTE))
+def laid_out_tables(spark, sf):
+    """De-duplication (J4) and attachment (J2) on laid-out tables, without a shuffle."""
+    crawl, lengths, names = laid_out(spark, sf)
+    first = shape.dedupe_by_key(crawl.select("id", "name"), ["id"], order=["name"])
+    longest = lengths.groupBy("id").agg(F.max("name_chars").alias("longest"))
+    out = stored_table(shape.attach_by_key(first, longest, "id", ["longest"]), "laid-out")
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")
+    return out
+
+
 @register("slice_round_trip", on_campaigns("""
 select id, name, state, goal, strftime(launched_at, '%Y-%m-%d') as launched_at
 from campaigns where mainCategory = 'machinery'"""))
@@ -1161,6 +1207,18 @@ def json_round_trip(spark, sf):
     return files.read_campaigns(spark, path)
 
 
+@register("inferred_json", ORACLE["flatten_struct"])
+def inferred_json(spark, sf):
+    """Crawl records with broken lines among them, read with the schema that they have."""
+    from fundscope.sources import files
+    path = _export_dir(spark, "dirty-json")
+    raw = tables.raw_campaigns(spark, sf)
+    lines = raw.select(F.to_json(F.struct(*raw.columns), {"ignoreNullFields": "false"}).alias("value"))
+    broken = lines.select(F.substring("value", F.lit(1), (F.length("value") / 2).cast("int")).alias("value"))
+    lines.unionByName(broken).write.text(path)
+    return shape.flatten_campaigns(files.read_inferred_json(spark, path)[0])
+
+
 @register("delimited_round_trip", """
 select doc_id as idx, coalesce(text, '') as text from documents""")
 def delimited_round_trip(spark, sf):

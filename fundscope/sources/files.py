@@ -7,6 +7,8 @@ never funnel data through one task unless asked (``single_file=True``).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +24,34 @@ def read_raw_campaigns(spark: SparkSession, path: str,
     return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
 
 
+def infer_json_schema(lines: DataFrame, value: str = "value") -> T.StructType:
+    """The schema of JSON lines, merged over all rows by a distributed aggregate.
+
+    Each line is parsed to a VARIANT; what does not parse, or is no object, says nothing. Fields come
+    in order of name. Fractions are doubles; a field that is always null is a string, one
+    with values of different kinds stays a VARIANT.
+    """
+    parsed = F.try_parse_json(value)
+    is_object = F.schema_of_variant(parsed).startswith("OBJECT")
+    found = lines.agg(F.schema_of_variant_agg(F.when(is_object, parsed))).first()[0] or "VOID"
+    if not found.startswith("OBJECT<"):
+        return T.StructType([])
+    found = re.sub(r"DECIMAL\(\d+,\s*\d+\)", "DOUBLE", found.replace("OBJECT<", "STRUCT<"))
+    return T.DataType.fromDDL(re.sub(r"\bVOID\b", "STRING", found))
+
+
+def read_inferred_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Line JSON with its inferred schema, and the lines that are no JSON objects (blank
+    lines aside), with their file. Nothing is dropped silently."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file_name"))
+    schema = infer_json_schema(lines)
+    parsed = F.try_parse_json("value")
+    good = F.coalesce(F.schema_of_variant(parsed).startswith("OBJECT"), F.lit(False))
+    rows = lines.where(good).select(F.from_json("value", schema).alias("r")).select("r.*")
+    bad = lines.where(~good & (F.trim("value") != ""))
+    return rows, bad
+
+
 def read_campaigns(spark: SparkSession, path: str) -> DataFrame:
     """S1 + S2: crawl JSON -> flat campaign table."""
     return flatten_campaigns(read_raw_campaigns(spark, path))
@@ -45,6 +75,16 @@ def save_table(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").saveAsTable(name)
 
 
+def save_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int) -> None:
+    """Replace a managed table laid out by ``keys``: joins and groupings of such tables on
+    these keys (same number of buckets) need no shuffle.
+
+    Rows are dealt to the buckets before the write, so that each bucket is one sorted file.
+    """
+    (df.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
+     .saveAsTable(name))
+
+
 def read_text_files(spark: SparkSession, path: str, name_from: str | None = None) -> DataFrame:
     """Whole text files -> ``(file_name, value)``, one row per file.
 
