@@ -71,3 +71,24 @@ def test_parts_are_balanced():
     part = ann.balanced_parts(x, 8)
     assert np.bincount(part, minlength=8).max() <= np.ceil(ann.SLACK * len(x) / 8)
     assert len(set(part[600:].tolist()) & set(part[:600].tolist())) <= 2
+
+
+def test_a_query_leaves_out_its_own_row_only(spark):
+    rows = [(0, [1.0, 0.0], "x"), (0, [0.0, 5.0], "x"), (1, [2.0, 0.0], "x"), (100, [3.0, 3.0], "x"),
+            (100, [3.0, 3.0], "x")]
+    got = ann.search(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 100 == 0, k=3).collect()
+    lists = sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 4)) for r in got)
+    apart = [(0, 1, 1, 1.0), (0, 2, 100, 3.6056), (0, 3, 100, 3.6056),          # of (1, 0)
+             (0, 1, 100, 3.6056), (0, 2, 100, 3.6056), (0, 3, 0, 5.099)]        # of (0, 5)
+    copies = [(100, 1, 100, 0.0), (100, 2, 1, 3.1623), (100, 3, 0, 3.6056)] * 2
+    assert lists == sorted(apart + copies)
+
+
+def test_clusters_need_few_probes_and_parts_grow():
+    rng = np.random.default_rng(1)
+    x = np.concatenate([rng.normal(size=(100, 8)) + 20 * rng.normal(size=8) for _ in range(20)])
+    model = ann.fit_router(x, ann.balanced_parts(x, 16))
+    assert ann.measured_probes(x, model) <= 4
+    loose = rng.normal(size=(2000, 32))
+    assert ann.measured_probes(loose, ann.fit_router(loose, ann.balanced_parts(loose, 16))) >= 8
+    assert ann.parts_for(500) == 16 < ann.parts_for(50_000) < ann.parts_for(10**9) == 62
