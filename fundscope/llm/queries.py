@@ -129,15 +129,16 @@ QUERIES = {
 ORACLE = {
     "op2_line_dedup": r"""
         WITH lines AS (
-            SELECT doc_id, generate_subscripts(parts, 1) AS pos, unnest(parts) AS line
-            FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)),
+            SELECT doc_id, text, generate_subscripts(parts, 1) AS pos, unnest(parts) AS line
+            FROM (SELECT doc_id, coalesce(text, '') AS text,
+                         string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)),
         keyed AS (
             SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
                                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
             FROM lines),
         shared AS (
             SELECT k FROM keyed WHERE length(k) >= 1
-            GROUP BY k HAVING count(DISTINCT doc_id) >= 10),
+            GROUP BY k HAVING count(DISTINCT (doc_id, text)) >= 10),
         marked AS (
             SELECT keyed.*, shared.k IS NOT NULL AS dropped
             FROM keyed LEFT JOIN shared ON keyed.k = shared.k)

@@ -61,3 +61,12 @@ def test_keep_first(make_docs):
 def test_native_plan(make_docs, capsys):
     ld.line_dedup(make_docs([(1, "a")])).explain()
     assert "Python" not in capsys.readouterr().out
+
+
+def test_rows_of_one_id_with_different_texts_are_documents(make_docs):
+    """A document is an id and a text: two ids can share a line ten times, copies of a row cannot."""
+    apart = [(i % 2, f"shared\nown {i}") for i in range(10)]
+    got = ld.line_dedup(make_docs(apart)).collect()
+    assert [r.n_dropped for r in got] == [1] * 10
+    copies = [(i % 2, f"shared\nown {i % 2}") for i in range(20)]
+    assert [r.n_dropped for r in ld.line_dedup(make_docs(copies)).collect()] == [0] * 20
