@@ -4,7 +4,8 @@ import pytest
 import __spark_entry__ as entry
 from fundscope.plans import catalog
 
-SLOW = set(catalog.SEARCHES) | {"lr_plain", "model_matrix"}
+SLOW = set(catalog.SEARCHES) | {"lr_plain", "model_matrix", "dt_search", "rf_search",
+                                "svc_searched_predict"}
 
 
 def test_oracle_keys_are_registered():

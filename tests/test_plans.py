@@ -14,7 +14,9 @@ EAGER = set(catalog.SEARCHES) | {"lr_plain", "model_matrix", "lr_optimum", "lr_p
          "vector_index", "describe_goal", "string_index", "standardize",
          "standardize_embeddings", "auc_score", "roc_points", "encoded_features",
          "indexed_features", "json_round_trip", "delimited_round_trip",
-         "csv_round_trip"}
+         "csv_round_trip", "dt_search", "rf_search", "svc_searched_predict",
+         "similar_documents", "segmented_records", "distinct_sketches", "laid_out_tables",
+         "inferred_json"}
 
 
 def plan(spark, sf, name):
