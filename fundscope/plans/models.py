@@ -64,9 +64,8 @@ REFERENCE_GRIDS: dict[str, dict[str, list]] = {
     },
 }
 
-# Bounds of a fit, beside the searched settings. The margin loss has no curvature: near its
-# optimum the optimizer's line search fails on rounding (NaN in its history) long after the
-# objective stands still, so it ends at a coarser tolerance.
+# Bounds of a fit, beside the searched settings. The margin loss has no curvature: at Spark's
+# default tolerance a fit takes up to 100 iterations, each a job, for the sixth digit of the objective.
 LIMITS = {"svm": {"tol": 1e-4, "maxIter": 50}}
 
 ESTIMATORS = {
