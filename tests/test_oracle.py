@@ -6,7 +6,8 @@ from fundscope.plans import catalog
 from tools.check_oracle import norm
 from collections import Counter
 
-SLOW = set(catalog.SEARCHES)      # whole grids; a test below runs a small one of each kind
+# whole grids; tests/test_search.py runs small ones
+SLOW = set(catalog.SEARCHES) | {"dt_search", "rf_search", "svc_searched_predict"}
 SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
                  "date": "DATE", "boolean": "BOOLEAN"}
 ORACLE = catalog.ORACLE
