@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundscope.llm.common import fresh, key_pair, salted_join, stored
+from fundscope.llm.common import discard, fresh, key_pair, salted_join, stored
 from fundscope.llm.components import components
 
 WORDS = 5
@@ -268,21 +268,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                   .dropDuplicates(["node"]), "shingles")
     # first each text with the leader it shares most bands with, one pair a text
     best = pairs.groupBy("a").agg(F.max_by("b", F.struct("bands", -F.col("b"))).alias("b"))
-    checked = stored(_similar(best, sets, weighting), "checked")
-    links = checked.where(F.col("similarity") >= similarity).select("a", "b")
+    first_checked = stored(_similar(best, sets, weighting), "checked")
+    links = first_checked.where(F.col("similarity") >= similarity).select("a", "b")
     comps = components(links)
     # then with its other leaders, as far as they are not joined yet
     others = pairs.select("a", "b").join(best, ["a", "b"], "left_anti")
-    checked = checked.unionByName(stored(
-        _similar(_apart(others, comps), sets, weighting), "checked"))
-    links = checked.where(F.col("similarity") >= similarity).select("a", "b")
+    then_checked = stored(_similar(_apart(others, comps), sets, weighting), "checked")
+    links = (first_checked.unionByName(then_checked)
+             .where(F.col("similarity") >= similarity).select("a", "b"))
     comps = components(links)
     # then whatever shares a bucket with another component
-    rest = stored(_unresolved(shared, comps, sets, similarity), "rest")
+    rest = _unresolved(shared, comps, sets, similarity)
     found = _similar(rest, sets, weighting).where(F.col("similarity") >= similarity)
     found = stored(found.select("a", "b"), "late-links")
     if found.limit(1).count():
         comps = components(links.unionByName(found))
+    discard(shared, pairs, sets, first_checked, then_checked, rest, found)
     classed = (nodes.join(comps, "node", "left")
                .select("k1", "k2", "least_id", F.coalesce("comp", "node").alias("comp")))
     first = F.min(F.struct(F.col("least_id").isNull().alias("none"), "least_id", "k1", "k2"))
@@ -305,7 +306,7 @@ def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
 
 def _unresolved(shared: DataFrame, comps: DataFrame, sets: DataFrame,
                 similarity: float) -> DataFrame:
-    """Pairs between components that share a bucket and pass two exact filters.
+    """Pairs between components that share a bucket and pass two exact filters, stored.
 
     The masses of similar sets have a ratio of ``similarity`` at least; and their symmetric
     difference, at most (1 - s) / (1 + s) of the summed masses, is at least the number of
@@ -326,11 +327,13 @@ def _unresolved(shared: DataFrame, comps: DataFrame, sets: DataFrame,
     differ = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
                          F.lit(0), lambda acc, n: acc + n)
     most = (1 - similarity) / (1 + similarity) * (F.col("ma") + F.col("mb")) + 1e-6
-    return (left.join(right, ["key", "salt"])
-            .where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
-                   & (F.least("ma", "mb") >= similarity * F.greatest("ma", "mb"))
-                   & (differ <= most))
-            .select("a", "b").distinct())
+    out = stored(left.join(right, ["key", "salt"])
+                 .where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
+                        & (F.least("ma", "mb") >= similarity * F.greatest("ma", "mb"))
+                        & (differ <= most))
+                 .select("a", "b").distinct(), "rest")
+    discard(rows)
+    return out
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -1,9 +1,11 @@
+import os
 import random
 from itertools import combinations
 
 import numpy as np
 import pytest
 
+import fundscope.llm.components as components_module
 from fundscope.llm import minhash as mh
 from fundscope.llm.components import components
 
@@ -106,3 +108,24 @@ def test_components(spark):
     got = {r.node: r.comp for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     want = {1: 1, 2: 1, 3: 1, 4: 1, 8: 8, 9: 8, 5: 5} | {i: 100 for i in range(100, 140)}
     assert got == want
+
+
+def test_tables_of_the_way_go(spark, make_docs, monkeypatch):
+    """Buckets, shingles, pairs and rounds of labels leave the disk when they have been read."""
+    paths = []
+    real = mh.stored
+
+    def stored(df, name):
+        out = real(df, name)
+        paths.append(out.stored_path)
+        return out
+
+    monkeypatch.setattr(mh, "stored", stored)
+    monkeypatch.setattr(components_module, "stored", stored)
+    rng = random.Random(1)
+    texts = [" ".join(f"w{rng.randrange(300)}" for _ in range(80)) for _ in range(20)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(50 + i, t + " end") for i, t in enumerate(texts)]
+    out = mh.near_duplicates(make_docs(rows))
+    assert out.select("class_id").distinct().count() == 20
+    left = {os.path.basename(p).rsplit("-", 1)[0] for p in paths if os.path.exists(p.removeprefix("file:"))}
+    assert left == {"sketches", "nodes", "labels"}
